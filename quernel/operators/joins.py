@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -47,25 +47,26 @@ def lookup_join(
     rows: DataFrame,
     table: DataFrame,
     keys: Sequence[str],
-    hot: DataFrame | None = None,
+    hot: Callable[[], DataFrame] | None = None,
     strategy: str = "auto",
     limit: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Inner join of ``rows`` with ``table`` (one row per key, a written table).
 
     ``auto`` and ``broadcast`` send the table to all executors if its measured
-    size is within ``limit``. Otherwise, and always with ``shuffle``, rows of
-    the ``hot`` keys (a bounded list) meet a broadcast of just those table
-    rows, and only the other rows are shuffled.
+    size is within ``limit``. Otherwise, and always with ``shuffle``, ``hot`` is
+    called for a written table of hot keys (a bounded list): their rows meet a
+    broadcast of just those table rows, and only the other rows are shuffled.
     """
     if strategy not in ("auto", "broadcast", "shuffle"):
         raise ValueError(f"unknown strategy {strategy!r}")
     keys = list(keys)
     if strategy != "shuffle" and measured_bytes(table) <= limit:
         return rows.join(F.broadcast(table), keys)
-    if hot is None or hot.isEmpty():
+    heavy = hot() if hot else None
+    if heavy is None or heavy.isEmpty():
         return rows.join(table.hint("merge"), keys)
-    hot = F.broadcast(hot.select(*keys))
-    near = rows.join(F.broadcast(table.join(hot, keys, "left_semi")), keys)
-    far = rows.join(hot, keys, "left_anti").join(table.hint("merge"), keys)
+    heavy = F.broadcast(heavy.select(*keys))
+    near = rows.join(F.broadcast(table.join(heavy, keys, "left_semi")), keys)
+    far = rows.join(heavy, keys, "left_anti").join(table.hint("merge"), keys)
     return near.unionByName(far)

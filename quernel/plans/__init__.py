@@ -1,8 +1,8 @@
 """Registered queries on the given tables, and the SQL that checks them."""
 
-from quernel.plans import orders
+from quernel.plans import colours, groups, logs, orders, paths, series, streams, text
 
-MODULES = [orders]
+MODULES = [orders, text, groups, logs, series, paths, colours, streams]
 
 
 def all_queries():
