@@ -7,6 +7,7 @@ from quernel.sources.readers import (
     load_table,
     observations,
     page_counts,
+    page_lines,
     text_lines,
     tmax_series,
 )
@@ -29,6 +30,7 @@ __all__ = [
     "load_table",
     "observations",
     "page_counts",
+    "page_lines",
     "save_csv",
     "save_json",
     "save_lines",

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quernel.functions.text import UNICODE_SPACE, fields
 from quernel.sources import schemas
 
 
@@ -66,3 +67,10 @@ def page_counts(spark: SparkSession, path: str) -> DataFrame:
     """
     rows = spark.read.csv(path, sep=" ", quote="", schema=schemas.PAGE_COUNT)
     return rows.select("*", file_label(r"pagecounts-(\d{8}-\d{2})").alias("hour"))
+
+
+def page_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Page counts whose first field is the hour: ``hour language title views size``."""
+    names = ["hour", "language", "title", "views", "size"]
+    parts = text_lines(spark, path).select(*fields("value", f"[{UNICODE_SPACE}]+", names))
+    return parts.withColumns({c: F.col(c).try_cast("bigint") for c in ("views", "size")})
