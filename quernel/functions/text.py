@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 # Fixed values, as the inside of a regex character class: white space as
 # Unicode has it, white space in ASCII, and ASCII punctuation.
 UNICODE_SPACE = (
-    r"\x{09}-\x{0D}\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
+    r"\t\n\x0B\f\r\x1C\x1D\x1E\x1F \x85\xA0\x{1680}\x{2000}-\x{200A}"
     r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
 )
-ASCII_SPACE = r"\x{09}-\x{0D}\x{20}"
+ASCII_SPACE = r"\t\n\x0B\f\r "
 PUNCTUATION = r"!-/:-@\[-`{-~"
 
 

@@ -22,16 +22,12 @@ def part_names(
 ) -> DataFrame:
     """One row per order with the sorted set of its part names.
 
-    Pairs are made distinct first, over both columns: an order with very many
-    lines is spread over the tasks, and only its distinct names meet in one.
+    (order, part) pairs are made distinct first, over both keys: an order with
+    very many lines is spread over the tasks, and only its distinct parts meet.
     """
-    pairs = (
-        lineitem.select(order_key, part_key)
-        .join(part.select(part_key, name), part_key)
-        .select(order_key, name)
-        .distinct()
-    )
-    return pairs.groupBy(order_key).agg(F.array_sort(F.collect_list(name)).alias(out))
+    pairs = lineitem.select(order_key, part_key).distinct()
+    named = pairs.join(part.select(part_key, name), part_key)
+    return named.groupBy(order_key).agg(F.array_sort(F.collect_set(name)).alias(out))
 
 
 def with_keys(df: DataFrame, column: str, keys: Iterable | None) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quernel.operators.joins import BROADCAST_BYTES, HOT_ROWS, hot_keys, lookup_join
+from quernel.operators.joins import BROADCAST_BYTES, HOT_ROWS, hot_keys, lookup_join, row_bytes
 from quernel.session import materialize
 
 MAX_HOPS = 6
@@ -77,25 +77,23 @@ def search(
     graph = edge_table.select("source", "dest").where("source is not null and dest is not null")
     graph = materialize(graph.distinct(), "edges")
     kind = graph.schema["source"].dataType.simpleString()
-    first = spark.range(1).select(F.lit(start).cast(kind).alias("node"))
+    first = spark.range(0, 1, 1, 1).select(F.lit(start).cast(kind).alias("node"))
     levels = [materialize(first.withColumn("path", F.array("node")), "level")]
+    size, found = 0, start == target
     hubs: list[DataFrame] = []
 
     def hot():
         if not hubs:
-            degrees = materialize(graph.groupBy("source").agg(F.count(F.lit(1)).alias("_n")), "degrees")
+            degrees = graph.groupBy("source").agg(F.count(F.lit(1)).alias("_n"))
+            degrees = materialize(degrees, "degrees")
             hubs.append(materialize(hot_keys(degrees, ["source"], "_n", hot_rows), "hubs"))
         return hubs[0]
 
-    def holds(level, node):
-        return not level.where(F.col("node") == F.lit(node).cast(kind)).isEmpty()
-
     for hop in range(1, max_hops + 1):
-        if target is not None and holds(levels[-1], target):
+        if found:
             break
-        reached = lookup_join(
-            graph, levels[-1].withColumnRenamed("node", "source"), ["source"], hot, strategy, limit
-        )
+        newest = levels[-1].withColumnRenamed("node", "source")
+        reached = lookup_join(graph, newest, ["source"], hot, strategy, limit, size)
         best = reached.groupBy(F.col("dest").alias("node")).agg(F.min("path").alias("path"))
         known = levels[0].select("node")
         for level in levels[1:]:
@@ -104,7 +102,10 @@ def search(
         level = materialize(
             fresh.select("node", F.concat("path", F.array("node")).alias("path")), "level"
         )
-        if level.isEmpty():
+        # One pass tells whether to go on and how to join the next round.
+        is_target = F.lit(False) if target is None else F.col("node") == F.lit(target).cast(kind)
+        size, found = level.agg(F.sum(row_bytes(level)), F.max(is_target)).first()
+        if size is None:
             break
         levels.append(level)
         if debug_path:

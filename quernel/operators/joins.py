@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,9 +15,9 @@ HOT_ROWS = 1_000_000
 HOT_KEYS = 50_000
 
 
-def measured_bytes(df: DataFrame) -> int:
-    """Size of ``df`` in bytes, from one aggregate over it. Meant for written tables."""
-    width = F.lit(0)
+def row_bytes(df: DataFrame) -> Column:
+    """Size of one row of ``df``, near enough to bound a broadcast."""
+    width = F.lit(0).cast("bigint")
     for field in df.schema.fields:
         column = F.col(field.name)
         if isinstance(field.dataType, T.StringType):
@@ -26,8 +26,12 @@ def measured_bytes(df: DataFrame) -> int:
             width = width + 16 + F.coalesce(F.octet_length(F.to_json(F.struct(column))), F.lit(0))
         else:
             width = width + 8
-    total = df.agg(F.sum(width.cast("bigint"))).first()[0]
-    return int(total or 0)
+    return width
+
+
+def measured_bytes(df: DataFrame) -> int:
+    """Size of ``df`` in bytes, from one aggregate over it. Meant for written tables."""
+    return int(df.agg(F.sum(row_bytes(df))).first()[0] or 0)
 
 
 def hot_keys(
@@ -50,19 +54,22 @@ def lookup_join(
     hot: Callable[[], DataFrame] | None = None,
     strategy: str = "auto",
     limit: int = BROADCAST_BYTES,
+    size: int | None = None,
 ) -> DataFrame:
     """Inner join of ``rows`` with ``table`` (one row per key, a written table).
 
     ``auto`` and ``broadcast`` send the table to all executors if its measured
-    size is within ``limit``. Otherwise, and always with ``shuffle``, ``hot`` is
+    size (``size``, if the caller has measured it) is within ``limit``. Otherwise, and always with ``shuffle``, ``hot`` is
     called for a written table of hot keys (a bounded list): their rows meet a
     broadcast of just those table rows, and only the other rows are shuffled.
     """
     if strategy not in ("auto", "broadcast", "shuffle"):
         raise ValueError(f"unknown strategy {strategy!r}")
     keys = list(keys)
-    if strategy != "shuffle" and measured_bytes(table) <= limit:
-        return rows.join(F.broadcast(table), keys)
+    if strategy != "shuffle":
+        size = measured_bytes(table) if size is None else size
+        if size <= limit:
+            return rows.join(F.broadcast(table), keys)
     heavy = hot() if hot else None
     if heavy is None or heavy.isEmpty():
         return rows.join(table.hint("merge"), keys)
