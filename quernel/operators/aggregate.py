@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,11 +39,11 @@ def sum_partials(df: DataFrame, value: str) -> DataFrame:
     def partial(batches):
         total, rows = 0.0, 0
         for batch in batches:
-            total += float(batch[value].sum())
-            rows += len(batch)
-        yield pd.DataFrame({"total": [total], "rows": [rows]})
+            total += pc.sum(batch.column(0)).as_py() or 0.0
+            rows += batch.num_rows
+        yield pa.RecordBatch.from_pydict({"total": [total], "rows": [rows]})
 
-    parts = df.select(value).mapInPandas(partial, "total double, rows bigint")
+    parts = df.select(F.col(value).cast("double")).mapInArrow(partial, "total double, rows bigint")
     return parts.agg(F.sum("total").alias("total"), F.sum("rows").alias("rows"))
 
 

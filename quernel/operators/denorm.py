@@ -7,6 +7,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quernel.operators.joins import lookup_join
 from quernel.session import materialize
 
 ORDER_LINE = "Order #%d $%.2f: %s"
@@ -135,8 +136,8 @@ def refresh(
         "touched-orders",
     )
     rebuilt = denormalize(
-        orders.join(touched, order_key, "left_semi"),
-        lineitem.join(touched, order_key, "left_semi"),
+        lookup_join(orders, touched, [order_key]).select(*orders.columns),
+        lookup_join(lineitem, touched, [order_key]).select(*lineitem.columns),
         part,
         order_key,
         part_key,

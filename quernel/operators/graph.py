@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quernel.operators.joins import BROADCAST_BYTES, HOT_ROWS, hot_keys, lookup_join, row_bytes
-from quernel.session import materialize
+from quernel.operators.joins import BROADCAST_BYTES, HOT_ROWS, hot_keys, row_bytes
+from quernel.session import materialize, scratch_path
 
 MAX_HOPS = 6
 
@@ -54,6 +56,63 @@ class Paths:
         return self.paths().where(F.col("node") == F.lit(node))
 
 
+class EdgeStore:
+    """Written edge table with two ways to expand a level of a search.
+
+    A level small enough to broadcast meets the edges where they are read. For
+    a larger one the edges are written once more, bucketed by source, so that
+    no round has to shuffle them again; edges of hubs, nodes with very many
+    edges, stay out of the buckets and meet a broadcast of the hub rows alone.
+    """
+
+    def __init__(self, edge_table: DataFrame, hot_rows: int, limit: int):
+        pairs = edge_table.select("source", "dest")
+        known = pairs.where("source is not null and dest is not null")
+        self.edges = materialize(known.distinct(), "edges")
+        self._hot_rows, self._limit = hot_rows, limit
+        self._parts: tuple[DataFrame, DataFrame, DataFrame] | None = None
+        self._table: str | None = None
+
+    def expand(self, level: DataFrame, size: int, strategy: str = "auto") -> DataFrame:
+        """``source, dest, path`` of all edges that leave the nodes of ``level``."""
+        level = level.withColumnRenamed("node", "source")
+        if strategy != "shuffle" and size <= self._limit:
+            return self.edges.join(F.broadcast(level), "source")
+        hubs, hub_edges, bucketed = self._split()
+        far = bucketed.join(level.hint("merge"), "source")
+        if hubs is None:
+            return far
+        near = hub_edges.join(F.broadcast(level.join(F.broadcast(hubs), "source", "left_semi")), "source")
+        return near.unionByName(far)
+
+    def _split(self):
+        if self._parts is None:
+            spark = self.edges.sparkSession
+            degrees = self.edges.groupBy("source").agg(F.count(F.lit(1)).alias("_n"))
+            degrees = materialize(degrees, "degrees")
+            hubs = materialize(hot_keys(degrees, ["source"], "_n", self._hot_rows), "hubs")
+            hub_edges, others = None, self.edges
+            if hubs.isEmpty():
+                hubs = None
+            else:
+                hub_edges = materialize(self.edges.join(F.broadcast(hubs), "source", "left_semi"), "hub-edges")
+                others = self.edges.join(F.broadcast(hubs), "source", "left_anti")
+            path = scratch_path(spark, "bucketed-edges")
+            self._table = f"edges_{uuid.uuid4().hex}"
+            buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+            # The shuffle first, so that each bucket is one file and not one per task.
+            others.repartition(buckets, "source").write.bucketBy(buckets, "source").sortBy("source").option(
+                "path", path
+            ).saveAsTable(self._table)
+            self._parts = hubs, hub_edges, spark.table(self._table)
+        return self._parts
+
+    def close(self) -> None:
+        """Forget the table name; the files stay in the shared folder."""
+        if self._table:
+            self.edges.sparkSession.sql(f"DROP TABLE IF EXISTS {self._table}")
+
+
 def search(
     edge_table: DataFrame,
     start,
@@ -67,33 +126,19 @@ def search(
     """Breadth-first search from ``start`` over (source, dest) rows.
 
     Each round joins the newest level with the edges, keeps one row per new
-    node, and writes it to the shared folder, which cuts the lineage. The
-    newest level is broadcast while its measured size allows; past that, only
-    edges of ordinary nodes are shuffled, and those of hubs, a bounded list,
-    meet a broadcast of the hub rows. Stops at ``target``, at ``max_hops``, or
-    when nothing new is found.
+    node, and writes it to the shared folder, which cuts the lineage. Stops at
+    ``target``, at ``max_hops``, or when nothing new is found.
     """
     spark = edge_table.sparkSession
-    graph = edge_table.select("source", "dest").where("source is not null and dest is not null")
-    graph = materialize(graph.distinct(), "edges")
-    kind = graph.schema["source"].dataType.simpleString()
+    store = EdgeStore(edge_table, hot_rows, limit)
+    kind = store.edges.schema["source"].dataType.simpleString()
     first = spark.range(0, 1, 1, 1).select(F.lit(start).cast(kind).alias("node"))
     levels = [materialize(first.withColumn("path", F.array("node")), "level")]
     size, found = 0, start == target
-    hubs: list[DataFrame] = []
-
-    def hot():
-        if not hubs:
-            degrees = graph.groupBy("source").agg(F.count(F.lit(1)).alias("_n"))
-            degrees = materialize(degrees, "degrees")
-            hubs.append(materialize(hot_keys(degrees, ["source"], "_n", hot_rows), "hubs"))
-        return hubs[0]
-
     for hop in range(1, max_hops + 1):
         if found:
             break
-        newest = levels[-1].withColumnRenamed("node", "source")
-        reached = lookup_join(graph, newest, ["source"], hot, strategy, limit, size)
+        reached = store.expand(levels[-1], size, strategy)
         best = reached.groupBy(F.col("dest").alias("node")).agg(F.min("path").alias("path"))
         known = levels[0].select("node")
         for level in levels[1:]:
@@ -110,6 +155,7 @@ def search(
         levels.append(level)
         if debug_path:
             Paths(levels).parents().write.json(f"{debug_path}/iter-{hop - 1}")
+    store.close()
     return Paths(levels)
 
 

@@ -5,24 +5,42 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quernel.operators.joins import lookup_join
+from quernel.operators.joins import BROADCAST_BYTES, HOT_ROWS, hot_keys, lookup_join
 from quernel.session import materialize
 
-MAX = "_max"
 
+def _matching(df: DataFrame, group: str, value: str, tops: DataFrame, strategy: str, hot_rows: int, limit: int):
+    """Rows of ``df`` at their group's top; ``tops`` also counts rows as ``_rows``."""
+    tops = materialize(tops, "tops")
 
-def top_rows(df: DataFrame, group: str, value: str, strategy: str = "auto") -> DataFrame:
+    def hot():
+        return materialize(hot_keys(tops, [group, value], "_rows", hot_rows), "hot-tops")
+
+    lookup = tops.select(group, value)
+    return lookup_join(df, lookup, [group, value], hot, strategy, limit).select(*df.columns)
+
+
+def top_rows(
+    df: DataFrame,
+    group: str,
+    value: str,
+    strategy: str = "auto",
+    hot_rows: int = HOT_ROWS,
+    limit: int = BROADCAST_BYTES,
+) -> DataFrame:
     """All rows that hold their group's largest value.
 
     The maxima, one small row per group, are written first; if they are small
     enough to broadcast, the rows are filtered where they are read. Otherwise
-    the join is on (group, value), which spreads a large group.
+    the join is on (group, value), with very large groups kept off the shuffle.
     """
-    tops = df.groupBy(group).agg(F.max(value).alias(value)).where(F.col(value).isNotNull())
-    return lookup_join(df, materialize(tops, "tops"), [group, value], strategy=strategy).select(*df.columns)
+    tops = df.groupBy(group).agg(F.max(value).alias(value), F.count(F.lit(1)).alias("_rows"))
+    return _matching(df, group, value, tops.where(F.col(value).isNotNull()), strategy, hot_rows, limit)
 
 
-def top_rows_window(df: DataFrame, group: str, value: str) -> DataFrame:
+def top_rows_window(
+    df: DataFrame, group: str, value: str, hot_rows: int = HOT_ROWS, limit: int = BROADCAST_BYTES
+) -> DataFrame:
     """The same rows, with the maxima found by a ranking window.
 
     The window sees each (group, value) once, and the planner limits it to
@@ -30,14 +48,14 @@ def top_rows_window(df: DataFrame, group: str, value: str) -> DataFrame:
     """
     by_value = Window.partitionBy(group).orderBy(F.desc(value))
     tops = (
-        df.select(group, value)
-        .where(F.col(value).isNotNull())
-        .distinct()
+        df.where(F.col(value).isNotNull())
+        .groupBy(group, value)
+        .agg(F.count(F.lit(1)).alias("_rows"))
         .withColumn("_rank", F.rank().over(by_value))
         .where(F.col("_rank") == 1)
         .drop("_rank")
     )
-    return lookup_join(df, materialize(tops, "tops"), [group, value]).select(*df.columns)
+    return _matching(df, group, value, tops, "auto", hot_rows, limit)
 
 
 def top_one(

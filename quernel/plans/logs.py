@@ -58,8 +58,8 @@ def correlate_sums(spark, folder):
     return _rounded(stats.pearson_of_sums(sums))
 
 
-def file_hour(spark, folder):
-    """Page counts in one folder per hour; the hour comes back from the path."""
+def _page_files(spark, folder):
+    """Page counts in one folder per hour, named as the files are."""
     events = table(spark, folder, "events")
     counts = events.select(
         F.lit("en").alias("language"),
@@ -72,7 +72,17 @@ def file_hour(spark, folder):
     )
     path = scratch_path(spark, "page-counts")
     save_partitioned(counts, ["file"], path, fmt="csv", sep=" ", quote="")
-    return page_counts(spark, f"{path}/*").select("hour", "title", "views", "size")
+    return f"{path}/*"
+
+
+def file_hour(spark, folder):
+    """The hour comes back from the path."""
+    return page_counts(spark, _page_files(spark, folder)).select("hour", "title", "views", "size")
+
+
+def file_hour_udf(spark, folder):
+    pages = page_counts(spark, _page_files(spark, folder), udf=True)
+    return pages.select("hour", "title", "views", "size")
 
 
 QUERIES = {
@@ -81,6 +91,7 @@ QUERIES = {
     "correlate": correlate,
     "correlate_sums": correlate_sums,
     "file_hour": file_hour,
+    "file_hour_udf": file_hour_udf,
 }
 
 _CORRELATE = """
@@ -106,3 +117,4 @@ SELECT strftime(ts, '%Y%m%d-00') AS hour, event_type || '"' || event_id AS title
 FROM events
 """,
 }
+ORACLES["file_hour_udf"] = ORACLES["file_hour"]

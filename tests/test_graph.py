@@ -54,3 +54,17 @@ def test_hub_agrees_with_networks_without_split(spark):
     plain = rows(graph.search(edges, 5).paths())
     assert plain == rows(graph.search(edges, 5, hot_rows=10, limit=0).paths())
     assert plain == rows(graph.search(edges, 5, strategy="shuffle", hot_rows=50).paths())
+
+
+def test_large_levels_join_buckets_without_shuffling_the_edges(spark):
+    from conftest import plan_of
+
+    edges = spark.range(500).select((F.col("id") % 50).alias("source"), F.col("id").alias("dest"))
+    store = graph.EdgeStore(edges, 10**6, 0)
+    level = spark.range(5).select(F.col("id").alias("node"), F.array("id").alias("path"))
+    out = store.expand(level, 10**9)
+    plan = plan_of(out, "simple")
+    assert "Bucketed: true" in plan and plan.count("Exchange hashpartitioning") == 1
+    assert out.count() == 50
+    store.close()
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("edges_")]

@@ -22,6 +22,14 @@ def test_report(base):
     assert rows(denorm.order_report_joined(*base, keys=["2", "3", "9"])) == expected[1:]
 
 
+def test_wide_table_equals_grouping_by_all_order_columns(base):
+    orders, lines, parts = base
+    joined = orders.join(lines, "orderkey").join(parts, "partkey").select(*orders.columns, "name")
+    keys = [c for c in joined.columns if c != "name"]
+    grouped = joined.groupBy(*keys).agg(F.array_sort(F.collect_set("name")).alias("part_names"))
+    assert rows(denorm.denormalize(*base)) == rows(grouped)
+
+
 def test_decimal_prices(base):
     orders, lines, parts = base
     orders = orders.withColumn("totalprice", F.col("totalprice").cast("decimal(38,18)"))
