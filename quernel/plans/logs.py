@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 from quernel.functions.weblog import load_records, parse_log
 from quernel.operators import stats
 from quernel.plans.tables import table
-from quernel.session import scratch_path
+from quernel.session import even_out, scratch_path
 from quernel.sources import page_counts, save_partitioned, text_lines
 
 
 def log_lines(spark, folder):
     """One log line per event; every seventh has no byte count and must not parse."""
-    events = table(spark, folder, "events")
+    events = even_out(table(spark, folder, "events"))
     size = F.when(F.col("event_id") % 7 == 0, F.lit("-")).otherwise(
         F.floor(F.col("value") * 10).cast("bigint").cast("string")
     )
