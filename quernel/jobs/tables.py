@@ -76,7 +76,8 @@ def order_report(
 ):
     """Report lines of some orders from the three base tables."""
     orders, lineitem, part = _order_tables(spark, fmt, folder, options)
-    report = denorm.order_report_joined(orders, lineitem, part, keys)
+    lines = denorm.lines_of(lineitem, keys)
+    report = denorm.order_report_joined(orders, lines, part, keys)
     sources.save_lines(report.orderBy("orderkey"), output, single_file=True)
 
 

@@ -47,9 +47,14 @@ def pipeline(
     labels: int = len(COLOUR_RGB),
     features=("R", "G", "B"),
     label: str = "word",
+    unseen: str = "error",
     **settings,
 ) -> Pipeline:
-    """Channels, or LAB made from them by a SQL stage, then label index and classifier."""
+    """Channels, or LAB made from them by a SQL stage, then label index and classifier.
+
+    A label met only after training is an error; with ``unseen="keep"`` it is
+    one more class.
+    """
     stages = []
     columns = list(features)
     if space == "lab":
@@ -59,9 +64,9 @@ def pipeline(
     elif space != "rgb":
         raise ValueError(f"unknown colour space {space!r}")
     stages.append(VectorAssembler(inputCols=columns, outputCol="features"))
-    stages.append(StringIndexer(inputCol=label, outputCol="word_indexed", handleInvalid="keep"))
-    # One more output than labels: the index that unseen labels get.
-    stages.append(classifier(kind, len(columns), labels + 1, **settings))
+    stages.append(StringIndexer(inputCol=label, outputCol="word_indexed", handleInvalid=unseen))
+    outputs = labels + (unseen == "keep")
+    stages.append(classifier(kind, len(columns), outputs, **settings))
     return Pipeline(stages=stages)
 
 

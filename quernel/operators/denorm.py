@@ -96,6 +96,19 @@ def order_report_joined(
     return order_report(wide, None, order_key, price)
 
 
+def lines_of(
+    lineitem: DataFrame, keys: Iterable, order_key: str = "orderkey", part_key: str = "partkey"
+) -> DataFrame:
+    """The (order, part) pairs of some orders, written.
+
+    Their true size is known then, so a few orders are broadcast to the part
+    scan; without it the planner, which sees only the size of all lines, would
+    shuffle every part.
+    """
+    pairs = with_keys(lineitem.select(order_key, part_key), order_key, keys).distinct()
+    return materialize(pairs, "order-lines")
+
+
 def latest(df: DataFrame, keys: Sequence[str], version: str) -> DataFrame:
     """Last row written per key, as a table with a primary key keeps it.
 

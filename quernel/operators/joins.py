@@ -21,11 +21,16 @@ def row_bytes(df: DataFrame) -> Column:
     for field in df.schema.fields:
         column = F.col(field.name)
         if isinstance(field.dataType, T.StringType):
-            width = width + 16 + F.coalesce(F.octet_length(column), F.lit(0))
-        elif isinstance(field.dataType, (T.ArrayType, T.StructType, T.MapType)):
-            width = width + 16 + F.coalesce(F.octet_length(F.to_json(F.struct(column))), F.lit(0))
+            inside = F.octet_length(column)
+        elif isinstance(field.dataType, T.ArrayType):
+            inside = 16 * F.size(column)
+            if isinstance(field.dataType.elementType, T.StringType):
+                inside = inside + F.octet_length(F.array_join(column, ""))
+        elif isinstance(field.dataType, (T.StructType, T.MapType)):
+            inside = F.octet_length(F.to_json(F.struct(column)))
         else:
-            width = width + 8
+            inside = F.lit(0)
+        width = width + 16 + F.greatest(F.coalesce(inside, F.lit(0)), F.lit(0))
     return width
 
 

@@ -60,10 +60,13 @@ def _by_window(df, positive, hot, group, value):
 
 
 def by_score(scores: DataFrame, score: str, *ties: str) -> DataFrame:
-    """Highest score first.
+    """Highest score first, then by ``ties``.
 
-    Rows with equal scores are ordered by ``ties`` and then arbitrarily, so
-    that many equal rows do not fall into one range of the sort.
+    Rows equal in all of these are told apart by a row number, so that very
+    many of them do not fall into one range of the sort. The table is written
+    first: the sort samples its input before it reads it, and would compute
+    the scores twice; and row numbers over files stay the same when a lost
+    task runs again.
     """
-    row = scores.withColumn("_row", F.monotonically_increasing_id())
-    return row.orderBy(F.desc(score), *ties, "_row").drop("_row")
+    written = materialize(scores, "scores").withColumn("_row", F.monotonically_increasing_id())
+    return written.orderBy(F.desc(score), *ties, "_row").drop("_row")

@@ -19,13 +19,17 @@ def _scores(spark, folder):
 
 
 def _views(spark, folder):
-    """Event types as pages, days as hours."""
-    day = F.date_format("ts", "yyyy-MM-dd")
+    """Event types as pages, days as hours; days stay dates until they are shown."""
+    day = F.to_date("ts")
     views = F.floor("value").cast("bigint")
     events = table(spark, folder, "events")
     return events.select("event_id", "event_type", day.alias("day"), views.alias("views"))
 
 
+def _shown(df):
+    return df.withColumn("day", F.date_format("day", "yyyy-MM-dd"))
+
+
 def group_mean(spark, folder):
     return aggregate.mean_by(_scores(spark, folder), ["event_type"], "score", "mean_score")
 
@@ -36,7 +40,7 @@ def user_mean(spark, folder):
 
 def group_max(spark, folder):
     views = _views(spark, folder)
-    return aggregate.max_by_group(views, ["event_type", "day"], "views", "max_views")
+    return _shown(aggregate.max_by_group(views, ["event_type", "day"], "views", "max_views"))
 
 
 def group_max_floor(spark, folder):
@@ -46,25 +50,26 @@ def group_max_floor(spark, folder):
 
 def top_one(spark, folder):
     views = _views(spark, folder).withColumn("item", F.col("event_type"))
-    return topgroup.top_one(views, "day", "views", "item", floor=0)
+    return _shown(topgroup.top_one(views, "day", "views", "item", floor=0))
 
 
 def top_one_lines(spark, folder):
     views = _views(spark, folder)
     best = topgroup.top_one(views, "day", "views", "event_type")
-    return best.orderBy("day").select(keyed_pair_line("day", "views", "event_type").alias("line"))
+    return _shown(best.orderBy("day")).select(keyed_pair_line("day", "views", "event_type").alias("line"))
 
 
 def top_ties(spark, folder):
-    return topgroup.top_rows(_views(spark, folder), "event_type", "views").orderBy("event_type", "event_id")
+    best = topgroup.top_rows(_views(spark, folder), "event_type", "views")
+    return _shown(best.orderBy("event_type", "event_id"))
 
 
 def top_ties_shuffle(spark, folder):
-    return topgroup.top_rows(_views(spark, folder), "event_type", "views", strategy="shuffle")
+    return _shown(topgroup.top_rows(_views(spark, folder), "event_type", "views", strategy="shuffle"))
 
 
 def top_ties_window(spark, folder):
-    return topgroup.top_rows_window(_views(spark, folder), "event_type", "views")
+    return _shown(topgroup.top_rows_window(_views(spark, folder), "event_type", "views"))
 
 
 def top_ties_joined(spark, folder):

@@ -30,7 +30,7 @@ def _train(spark, folder, space, kind="logistic"):
     rows = labelled_colours(spark, folder)
     train, validation = hash_split(rows, ["p_partkey"])
     labels = rows.select("word").distinct().count()
-    fitted = colours.train(train, validation, space=space, kind=kind, labels=labels, max_iter=40)
+    fitted = colours.train(train, validation, space=space, kind=kind, labels=labels, unseen="keep", max_iter=40)
     return fitted, validation
 
 
@@ -54,7 +54,7 @@ def embedding_classifier(spark, folder):
     )
     train, validation = hash_split(rows, ["vec_id"])
     labels = rows.select("word").distinct().count()
-    fitted = colours.train(train, validation, kind="perceptron", labels=labels, max_iter=40)
+    fitted = colours.train(train, validation, kind="perceptron", labels=labels, unseen="keep", max_iter=40)
     scored = colours.with_words(fitted.model, fitted.model.transform(validation))
     return scored.select("vec_id", "word", "predicted_word")
 

@@ -8,9 +8,6 @@ from quernel.operators import denorm
 from quernel.plans.tables import table
 from quernel.session import materialize
 
-KEYS = {"order_key": "orderkey", "part_key": "partkey", "name": "name"}
-
-
 def _tables(spark, folder):
     orders = table(spark, folder, "orders").withColumnsRenamed(
         {"o_orderkey": "orderkey", "o_totalprice": "totalprice"}
@@ -54,7 +51,7 @@ def dearest_orders_report(spark, folder):
     orders, lineitem, part = _tables(spark, folder)
     dearest = orders.orderBy(F.desc("totalprice"), "orderkey").limit(5)
     keys = [row.orderkey for row in dearest.select("orderkey").collect()]
-    return denorm.order_report_joined(orders, lineitem, part, keys)
+    return denorm.order_report_joined(orders, denorm.lines_of(lineitem, keys), part, keys)
 
 
 def denorm_refresh(spark, folder):
