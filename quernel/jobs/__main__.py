@@ -41,7 +41,9 @@ def build_parser() -> argparse.ArgumentParser:
         "--strategy", choices=["auto", "broadcast", "shuffle", "window"], default="auto"
     )
     job("page-maxima", "inputs", "output")
-    job("page-tops", "inputs", "output").add_argument("--single-file", action="store_true")
+    sub = job("page-tops", "inputs", "output")
+    sub.add_argument("--single-file", action="store_true")
+    sub.add_argument("--tabbed", action="store_true")
     job("page-tops-by-file", "inputs", "output").add_argument("--fold", action="store_true")
     job("weather-etl", "inputs", "output")
     job("temperature-ranges", "inputs", "output").add_argument("--sql", action="store_true")
@@ -99,7 +101,7 @@ def run(spark, args) -> None:
     elif a.job == "page-maxima":
         text.page_maxima(spark, a.inputs, a.output)
     elif a.job == "page-tops":
-        text.page_tops(spark, a.inputs, a.output, a.single_file)
+        text.page_tops(spark, a.inputs, a.output, a.single_file, a.tabbed)
     elif a.job == "page-tops-by-file":
         text.page_tops_by_file(spark, a.inputs, a.output, a.fold)
     elif a.job == "weather-etl":

@@ -83,12 +83,21 @@ def page_maxima(spark: SparkSession, inputs: str, output: str):
     sources.save_tabbed(top.orderBy("hour"), output)
 
 
-def page_tops(spark: SparkSession, inputs: str, output: str, single_file: bool = False):
-    """The most viewed article per hour, one per hour."""
+def page_tops(
+    spark: SparkSession, inputs: str, output: str, single_file: bool = False, tabbed: bool = False
+):
+    """The most viewed article per hour, one per hour.
+
+    ``tabbed`` gives ``hour TAB (title,views)``, with an empty title where no
+    article was viewed.
+    """
     pages = topgroup.article_rows(sources.page_lines(spark, inputs))
-    best = topgroup.top_one(pages, "hour", "views", "title").orderBy("hour")
-    line = text.keyed_pair_line("hour", "views", "title").alias("line")
-    sources.save_lines(best.select(line), output, single_file=single_file)
+    best = topgroup.top_one(pages, "hour", "views", "title", floor=0 if tabbed else None).orderBy("hour")
+    if tabbed:
+        line = F.format_string("%s\t(%s,%s)", F.col("hour"), F.col("title"), F.col("views"))
+    else:
+        line = text.keyed_pair_line("hour", "views", "title")
+    sources.save_lines(best.select(line.alias("line")), output, single_file=single_file)
 
 
 def page_tops_by_file(spark: SparkSession, inputs: str, output: str, fold: bool = False):

@@ -125,30 +125,32 @@ def upsert(base: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFram
     return kept.unionByName(updates)
 
 
-def refresh(
+def orders_using(
+    lineitem: DataFrame, changed: DataFrame, order_key: str = "orderkey", part_key: str = "partkey"
+) -> DataFrame:
+    """Keys of the orders that have a line with one of the ``changed`` parts."""
+    lines = lineitem.select(order_key, part_key)
+    return lines.join(changed.select(part_key), part_key, "left_semi").select(order_key).distinct()
+
+
+def rebuild(
     wide: DataFrame,
     orders: DataFrame,
     lineitem: DataFrame,
     part: DataFrame,
-    changed: DataFrame,
+    touched: DataFrame,
     order_key: str = "orderkey",
     part_key: str = "partkey",
     name: str = "name",
     out: str = "part_names",
 ) -> DataFrame:
-    """The wide table after parts in ``changed`` were inserted, renamed or deleted.
+    """The wide table with the ``touched`` orders (distinct keys) made again.
 
-    ``part`` is the table after the change. Only orders that use a changed
-    part are rebuilt; an order left without parts drops out.
+    For new, changed and deleted orders. The base tables are those after the
+    change; an order that is gone, or has no parts left, drops out.
     """
-    touched = materialize(
-        lineitem.select(order_key, part_key)
-        .join(changed.select(part_key), part_key, "left_semi")
-        .select(order_key)
-        .distinct(),
-        "touched-orders",
-    )
-    rebuilt = denormalize(
+    touched = materialize(touched.select(order_key), "touched-orders")
+    again = denormalize(
         lookup_join(orders, touched, [order_key]).select(*orders.columns),
         lookup_join(lineitem, touched, [order_key]).select(*lineitem.columns),
         part,
@@ -157,4 +159,24 @@ def refresh(
         name,
         out,
     )
-    return wide.join(touched, order_key, "left_anti").unionByName(rebuilt)
+    return wide.join(touched, order_key, "left_anti").unionByName(again)
+
+
+def refresh(
+    wide: DataFrame,
+    orders: DataFrame,
+    lineitem: DataFrame,
+    part: DataFrame,
+    changed: DataFrame,
+    order_key: str = "orderkey",
+    part_key: str = "partkey",
+    name: str = "name",
+    out: str = "part_names",
+) -> DataFrame:
+    """The wide table after parts in ``changed`` were inserted, renamed or deleted.
+
+    Only orders that use a changed part are rebuilt. ``part`` is the table
+    after the change.
+    """
+    touched = orders_using(lineitem, changed, order_key, part_key)
+    return rebuild(wide, orders, lineitem, part, touched, order_key, part_key, name, out)

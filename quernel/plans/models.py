@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import functions as F
 
 from quernel.functions.colour import COLOUR_RGB
@@ -78,6 +79,20 @@ def tmax_series(spark, folder):
     )
 
 
+def next_day_features(spark, folder):
+    """What the model's SQL stage makes of the daily series."""
+    stage = SQLTransformer(statement=temperature.WITH_YESTERDAY)
+    days = stage.transform(tmax_series(spark, folder))
+    return days.select(
+        "station",
+        F.date_format("date", "yyyy-MM-dd").alias("date"),
+        F.col("dayofyear").cast("bigint").alias("dayofyear"),
+        *[F.round(F.col(c).cast("double"), 2).alias(c) for c in ("latitude", "longitude", "elevation")],
+        F.round(F.col("tmax").cast("double"), 2).alias("tmax"),
+        F.round(F.col("yesterday_tmax").cast("double"), 2).alias("yesterday_tmax"),
+    )
+
+
 def _saved_model(spark, folder, **settings):
     series = tmax_series(spark, folder)
     model, scores = temperature.train(series, max_iter=5, max_depth=4, **settings)
@@ -103,9 +118,20 @@ QUERIES = {
     "colour_classifier_lab": _classified("lab", "logistic"),
     "colour_perceptron": _classified("rgb", "perceptron"),
     "embedding_classifier": embedding_classifier,
+    "next_day_features": next_day_features,
     "scored_grid": scored_grid,
     "next_day_regressor": next_day_regressor,
     "feature_importances": feature_importances,
 }
 
-ORACLES = {}
+ORACLES = {
+    "next_day_features": """
+WITH days AS (
+  SELECT user_id, CAST(ts AS DATE) AS date, max(value) AS tmax FROM events GROUP BY ALL)
+SELECT CAST(t.user_id AS VARCHAR) AS station, strftime(t.date, '%Y-%m-%d') AS date,
+       CAST(dayofyear(t.date) AS BIGINT) AS dayofyear, CAST(t.user_id % 90 AS DOUBLE) AS latitude,
+       CAST(t.user_id * 7 % 180 AS DOUBLE) AS longitude, CAST(t.user_id * 13 % 1000 AS DOUBLE) AS elevation,
+       round(t.tmax, 2) AS tmax, round(y.tmax, 2) AS yesterday_tmax
+FROM days AS t JOIN days AS y ON t.user_id = y.user_id AND t.date - 1 = y.date
+""",
+}

@@ -79,6 +79,8 @@ def test_page_jobs(job, tmp_path):
     assert lines(tmp_path / "max") == ["20160801-12\t9"]
     job("page-tops", rows, tmp_path / "top", "--single-file")
     assert lines(tmp_path / "top") == ["20160801-12 \t (9, Apple)"]
+    job("page-tops", rows, tmp_path / "tabbed", "--tabbed")
+    assert lines(tmp_path / "tabbed") == ["20160801-12\t(Apple,9)"]
     folder = tmp_path / "files"
     folder.mkdir()
     for hour, extra in (("12", []), ("13", ["en Kiwi 9 1"])):

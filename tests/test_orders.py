@@ -73,6 +73,15 @@ def test_refresh_drops_orders_left_without_parts(base, spark):
     assert rows(got, "orderkey") == [(1,)]
 
 
+def test_new_and_deleted_orders(base, spark):
+    orders, lines, parts = base
+    orders_after = orders.where("orderkey <> 1").union(spark.createDataFrame([(9, 1.0)], orders.schema))
+    lines_after = lines.where("orderkey <> 1").union(spark.createDataFrame([(9, 7)], lines.schema))
+    touched = spark.createDataFrame([(1,), (9,)], "orderkey int")
+    got = denorm.rebuild(denorm.denormalize(*base), orders_after, lines_after, parts, touched)
+    assert rows(got) == [(2, 20.0, ["bolt"]), (9, 1.0, ["nut"])]
+
+
 def test_upsert_last_write_wins(spark):
     base = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
     writes = spark.createDataFrame([(2, "x", 1), (2, "y", 3), (2, "z", 2), (3, "n", 1)], "k int, v string, t int")
