@@ -20,6 +20,9 @@ def _store(parser):
 
 def build_parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="quernel.jobs")
+    parser.add_argument(
+        "--explain", action="store_true", help="print the plan (comment-means, page-tops-by-file, order-report)"
+    )
     jobs = parser.add_subparsers(dest="job", required=True)
 
     def job(name, *positional, help=None):
@@ -89,11 +92,17 @@ def build_parser() -> argparse.ArgumentParser:
 
 
 def run(spark, args) -> None:
+    result = _run(spark, args)
+    if args.explain and result is not None:
+        result.explain()
+
+
+def _run(spark, args):
     a = args
     if a.job == "word-count":
         text.word_count(spark, a.inputs, a.output, a.punctuation, a.ascii_space, a.tabbed, a.partitions)
     elif a.job == "comment-means":
-        text.comment_means(spark, a.inputs, a.output, a.style)
+        return text.comment_means(spark, a.inputs, a.output, a.style)
     elif a.job == "comment-routes":
         text.comment_routes(spark, a.inputs, a.output, a.folders)
     elif a.job == "relative-scores":
@@ -103,7 +112,7 @@ def run(spark, args) -> None:
     elif a.job == "page-tops":
         text.page_tops(spark, a.inputs, a.output, a.single_file, a.tabbed)
     elif a.job == "page-tops-by-file":
-        text.page_tops_by_file(spark, a.inputs, a.output, a.fold)
+        return text.page_tops_by_file(spark, a.inputs, a.output, a.fold)
     elif a.job == "weather-etl":
         tables.weather_etl(spark, a.inputs, a.output)
     elif a.job == "temperature-ranges":
@@ -117,7 +126,7 @@ def run(spark, args) -> None:
     elif a.job == "shortest-path":
         tables.shortest_path(spark, a.inputs, a.output, a.source, a.dest, a.debug)
     elif a.job == "order-report":
-        tables.order_report(spark, a.output, a.keys, a.format, a.folder, **_options(a.option))
+        return tables.order_report(spark, a.output, a.keys, a.format, a.folder, **_options(a.option))
     elif a.job == "order-lookup":
         tables.order_lookup(spark, a.output, a.keys, a.format, a.folder, **_options(a.option))
     elif a.job == "denormalize":
@@ -135,6 +144,7 @@ def run(spark, args) -> None:
         models.predict_next_day(
             spark, a.model, a.day, a.latitude, a.longitude, a.elevation, a.tmax
         ).show()
+    return None
 
 
 def main(argv=None) -> None:

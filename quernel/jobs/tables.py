@@ -79,6 +79,7 @@ def order_report(
     lines = denorm.lines_of(lineitem, keys)
     report = denorm.order_report_joined(orders, lines, part, keys)
     sources.save_lines(report.orderBy("orderkey"), output, single_file=True)
+    return report
 
 
 def denormalize(

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from quernel import sources
 from quernel.functions import jsontext, text
 from quernel.operators import aggregate, relative, routing, topgroup
-from quernel.session import even_out
+from quernel.session import even_out, materialize
 
 
 def word_count(
@@ -48,6 +48,7 @@ def comment_means(spark: SparkSession, inputs: str, output: str, style: str = "c
         sources.save_tabbed(means.orderBy("subreddit"), output)
     else:
         raise ValueError(f"unknown style {style!r}")
+    return means
 
 
 def comment_routes(spark: SparkSession, inputs: str, output: str, folders: bool = False):
@@ -71,11 +72,22 @@ def comment_routes(spark: SparkSession, inputs: str, output: str, folders: bool
 def relative_scores(spark: SparkSession, inputs: str, output: str, strategy: str = "auto"):
     """Author and score relative to the group mean, highest first."""
     rows = sources.comments(spark, inputs).select("subreddit", "author", "score")
+    # Read twice below: once for the means, once for the scores.
+    rows = materialize(rows, "comments")
     scored = relative.relative_score(rows, "subreddit", "score", strategy=strategy)
     ordered = relative.by_score(scored.select("author", "relative"), "relative", "author")
     sources.save_lines(ordered.select(jsontext.array_line("author", "relative").alias("line")), output)
 
 
+def _read_once(pages):
+    """Pages are read for the maxima and again for the rows that hold them.
+
+    Three columns in a written table are cheaper to read twice than text that
+    cannot be split.
+    """
+    return materialize(pages.select("hour", "title", "views"), "pages")
+
+
 def page_maxima(spark: SparkSession, inputs: str, output: str):
     """Most views of an article per hour, zero at least."""
     pages = topgroup.article_rows(sources.page_lines(spark, inputs))
@@ -91,7 +103,7 @@ def page_tops(
     ``tabbed`` gives ``hour TAB (title,views)``, with an empty title where no
     article was viewed.
     """
-    pages = topgroup.article_rows(sources.page_lines(spark, inputs))
+    pages = _read_once(topgroup.article_rows(sources.page_lines(spark, inputs)))
     best = topgroup.top_one(pages, "hour", "views", "title", floor=0 if tabbed else None).orderBy("hour")
     if tabbed:
         line = F.format_string("%s\t(%s,%s)", F.col("hour"), F.col("title"), F.col("views"))
@@ -103,5 +115,6 @@ def page_tops(
 def page_tops_by_file(spark: SparkSession, inputs: str, output: str, fold: bool = False):
     """All most viewed articles per hour, with the hour from the file name."""
     pages = topgroup.article_rows(sources.page_counts(spark, inputs), fold=fold)
-    best = topgroup.top_rows(pages.select("hour", "title", "views"), "hour", "views")
-    sources.save_json(best.orderBy("hour", "title"), output)
+    best = topgroup.top_rows(_read_once(pages), "hour", "views").orderBy("hour", "title")
+    sources.save_json(best, output)
+    return best

@@ -16,7 +16,10 @@ SPAN_DAYS = 64
 def previous_day(
     df: DataFrame, station: str, day: str, value: str, out: str = "yesterday"
 ) -> DataFrame:
-    """Add the value of exactly the day before; days without one drop out."""
+    """Add the value of exactly the day before; days without one drop out.
+
+    For one row per station and day, which also spreads a long series evenly.
+    """
     before = df.select(
         F.col(station), F.date_add(day, 1).alias(day), F.col(value).alias(out)
     )

@@ -18,16 +18,20 @@ DEFAULTS = {
 
 
 def get_spark(app: str, master: str | None = None, **settings: str) -> SparkSession:
-    """Session with the defaults above; anything the deployer sets wins.
+    """Session with the defaults above, where neither ``settings`` nor the deployer sets them.
 
     Executor counts and memory are left to spark-submit.
     """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for name, value in {**DEFAULTS, **settings}.items():
+    for name, value in settings.items():
         builder = builder.config(name, value)
     spark = builder.getOrCreate()
+    given = spark.sparkContext.getConf()
+    for name, value in DEFAULTS.items():
+        if not given.contains(name):
+            spark.conf.set(name, value)
     spark.sparkContext.setLogLevel("WARN")
     return spark
 

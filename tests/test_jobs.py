@@ -62,6 +62,12 @@ def test_comment_jobs(job, comments, tmp_path):
         assert scored[0] == ["u1", 4 / 3] and scored[1:3] == [["u3", 1.0], ["u2", 2 / 3]]
 
 
+def test_explain(job, comments, tmp_path, capfd):
+    job("--explain", "comment-means", comments, tmp_path / "out")
+    plan = capfd.readouterr().out
+    assert "partial_avg(score" in plan and "ReadSchema: struct<score:bigint,subreddit:string>" in plan
+
+
 def test_comment_routes(job, comments, tmp_path):
     up = [["cee", "u5", 1], ["teal", "u1", 4], ["teal", "u2", 2]]
     job("comment-routes", comments, tmp_path / "one")

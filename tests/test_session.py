@@ -52,3 +52,8 @@ def test_cached_releases(spark):
     with session.cached(df) as c:
         assert c.storageLevel.useMemory
     assert not df.storageLevel.useMemory
+
+
+def test_defaults_do_not_override_the_deployer(spark, monkeypatch):
+    monkeypatch.setattr(session, "DEFAULTS", {"spark.sql.shuffle.partitions": "99"})
+    assert session.get_spark("again").conf.get("spark.sql.shuffle.partitions") == "4"
