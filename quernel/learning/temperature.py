@@ -15,14 +15,13 @@ from quernel.session import cached
 
 PLACE = ("latitude", "longitude", "elevation")
 
-# Each day beside the day before it, at one station; a day without one is left out.
+# Each day takes the maximum that was filed under it from the day before, at one
+# station; a day without one is left out. Both sides meet on equal keys.
 WITH_YESTERDAY = """
-SELECT today.station, today.date, dayofyear(today.date) AS dayofyear,
-       today.latitude, today.longitude, today.elevation, today.tmax,
-       before.tmax AS yesterday_tmax
-FROM __THIS__ AS today
-JOIN __THIS__ AS before
-  ON today.station = before.station AND date_sub(today.date, 1) = before.date
+SELECT station, date, dayofyear(date) AS dayofyear, latitude, longitude, elevation, tmax, yesterday_tmax
+FROM __THIS__
+JOIN (SELECT station, date_add(date, 1) AS date, tmax AS yesterday_tmax FROM __THIS__)
+  USING (station, date)
 """
 
 WITHOUT_YESTERDAY = """

@@ -96,13 +96,13 @@ def etl_split(spark, folder):
 
 
 def observation_etl(spark, folder):
-    """Orders as observations: priority as station, status as kind."""
+    """Orders as observations: priority as station, status as kind, high prices flagged."""
     orders = table(spark, folder, "orders").select(
         F.col("o_orderpriority").alias("station"),
         F.date_format("o_orderdate", "yyyy-MM-dd").alias("date"),
         F.col("o_orderstatus").alias("observation"),
         F.col("o_totalprice").alias("value"),
-        F.when(F.col("o_custkey") % 10 == 0, F.lit("X")).alias("qflag"),
+        F.when(F.col("o_totalprice") > 400_000, F.lit("X")).alias("qflag"),
     )
     return routing.valid_observations(orders, prefix="1-", kind="F", out="price")
 
@@ -197,7 +197,7 @@ FROM {_SCORES} WHERE contains(event_type, 'r')
     "observation_etl": """
 SELECT o_orderpriority AS station, strftime(o_orderdate, '%Y-%m-%d') AS date, o_totalprice / 10 AS price
 FROM orders
-WHERE starts_with(o_orderpriority, '1-') AND o_orderstatus = 'F' AND o_custkey % 10 <> 0
+WHERE starts_with(o_orderpriority, '1-') AND o_orderstatus = 'F' AND o_totalprice <= 400000
 """,
     "except_users": """
 SELECT user_id FROM events WHERE event_type = 'view'

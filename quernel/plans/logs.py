@@ -12,9 +12,9 @@ from quernel.sources import page_counts, save_partitioned, text_lines
 
 
 def log_lines(spark, folder):
-    """One log line per event; every seventh has no byte count and must not parse."""
+    """One log line per event; errors have no byte count and must not parse."""
     events = even_out(table(spark, folder, "events"))
-    size = F.when(F.col("event_id") % 7 == 0, F.lit("-")).otherwise(
+    size = F.when(F.col("event_type") == "error", F.lit("-")).otherwise(
         F.floor(F.col("value") * 10).cast("bigint").cast("string")
     )
     line = F.format_string(
@@ -104,10 +104,10 @@ ORACLES = {
     "log_etl": """
 SELECT 'h' || user_id AS host, strftime(ts, '%Y-%m-%d %H:%M:%S') AS datetime,
        '/' || event_type || '/' || event_id AS path, CAST(floor(value * 10) AS BIGINT) AS bytes
-FROM events WHERE event_id % 7 <> 0
+FROM events WHERE event_type <> 'error'
 """,
     "correlate_logs": _CORRELATE.format(
-        key="user_id", value="CAST(floor(value * 10) AS BIGINT)", where="WHERE event_id % 7 <> 0"
+        key="user_id", value="CAST(floor(value * 10) AS BIGINT)", where="WHERE event_type <> 'error'"
     ),
     "correlate": _CORRELATE.format(key="user_id", value="value", where=""),
     "correlate_sums": _CORRELATE.format(key="user_id", value="value", where=""),

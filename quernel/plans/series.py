@@ -9,13 +9,13 @@ from quernel.plans.tables import table
 
 
 def _observations(spark, folder):
-    """Users as stations, clicks as highs, views as lows; odd users' day 13 is flagged."""
+    """Users as stations, clicks as highs, views as lows; very high values are flagged."""
     return table(spark, folder, "events").select(
         F.col("user_id").alias("station"),
         F.date_format("ts", "yyyy-MM-dd").alias("date"),
         F.col("event_type").alias("observation"),
         F.col("value"),
-        F.when((F.col("user_id") % 2 == 1) & (F.dayofmonth("ts") == 13), F.lit("X")).alias("qflag"),
+        F.when(F.col("value") > 300, F.lit("X")).alias("qflag"),
     )
 
 
@@ -62,7 +62,7 @@ QUERIES = {
 _RANGE = """
 WITH obs AS (
   SELECT user_id AS station, strftime(ts, '%Y-%m-%d') AS date, event_type, value
-  FROM events WHERE NOT (user_id % 2 = 1 AND day(ts) = 13)),
+  FROM events WHERE value <= 300),
 ranges AS (
   SELECT date, station, (hi - lo) / 10 AS range
   FROM (SELECT date, station, max(value) AS hi FROM obs WHERE event_type = 'click' GROUP BY ALL)
