@@ -24,6 +24,7 @@ HEADLINE = [
     "group_max",
     "top_one",
     "top_ties",
+    "top_ties_shuffle",
     "top_ties_window",
     "relative_score",
     "relative_score_bcast",

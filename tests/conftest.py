@@ -15,7 +15,12 @@ def spark():
     session = get_spark(
         "tests",
         "local[8]",
-        **{"spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false", "spark.driver.memory": "4g"},
+        **{
+            "spark.sql.shuffle.partitions": "4",
+            "spark.default.parallelism": "3",
+            "spark.ui.enabled": "false",
+            "spark.driver.memory": "4g",
+        },
     )
     yield session
     session.stop()
