@@ -36,9 +36,10 @@ def test_search_stops_at_the_target_and_at_the_limit(spark, edges):
     assert rows(graph.search(edges, 1, target=4).hops()) == [(1, 0), (2, 1), (3, 1), (4, 2)]
     assert rows(graph.search(edges, 1, target=1).hops()) == [(1, 0)]
     chain = spark.range(20).select(F.col("id").alias("source"), (F.col("id") + 1).alias("dest"))
-    assert max(r.hops for r in graph.search(chain, 0).hops().collect()) == 6
-    assert lines(graph.search(chain, 0, 7), 0, 7) == ["no path exists from node 0 to node 7!"]
-    assert lines(graph.search(chain, 0, 6), 0, 6)[-1] == "6"
+    found = graph.search(chain, 0)
+    assert max(r.hops for r in found.hops().collect()) == 6
+    assert lines(found, 0, 7) == ["no path exists from node 0 to node 7!"]
+    assert lines(found, 0, 6)[-1] == "6"
 
 
 def test_text_nodes(spark):
@@ -51,9 +52,10 @@ def test_hub_agrees_with_networks_without_split(spark):
     hub = spark.range(1, 301).select(F.lit(0).cast("bigint").alias("source"), F.col("id").alias("dest"))
     rest = spark.range(600).select((F.col("id") % 300 + 1).alias("source"), (F.col("id") * 7 % 900).alias("dest"))
     edges = hub.union(rest)
-    plain = rows(graph.search(edges, 5).paths())
-    assert plain == rows(graph.search(edges, 5, hot_rows=10, limit=0).paths())
-    assert plain == rows(graph.search(edges, 5, strategy="shuffle", hot_rows=50).paths())
+    plain = rows(graph.search(edges, 1, max_hops=3).paths())
+    assert (300, [1, 300], 1) in plain and (7, [1, 0, 7], 2) in plain
+    assert plain == rows(graph.search(edges, 1, max_hops=3, hot_rows=10, limit=0).paths())
+    assert plain == rows(graph.search(edges, 1, max_hops=3, strategy="shuffle", hot_rows=50).paths())
 
 
 def test_large_levels_join_buckets_without_shuffling_the_edges(spark):
