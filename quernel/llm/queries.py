@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quernel.llm import mixing, quality, sharding
+from quernel.llm import decontaminate, mixing, near_dup, quality, sharding
 from quernel.llm.common import documents
 from quernel.sources import load_table
 
@@ -20,15 +20,30 @@ def op4_quality_rules(spark, folder):
     )
 
 
+def op5_decontamination(spark, folder):
+    found = decontaminate.contamination(documents(spark, folder), load_table(spark, "benchmark", folder=folder))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated",
+    )
+
+
 def op7_mixing(spark, folder):
     mixed = mixing.mix(documents(spark, folder))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_near_duplicates(spark, folder):
+    found = near_dup.near_duplicates(documents(spark, folder))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 QUERIES = {
     "op3_sharding": op3_sharding,
     "op4_quality_rules": op4_quality_rules,
+    "op5_decontamination": op5_decontamination,
     "op7_mixing": op7_mixing,
+    "op8_near_duplicates": op8_near_duplicates,
 }
 
 _SPACE = r"[\x20\x09-\x0D]"
@@ -86,8 +101,35 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS
 FROM b LEFT JOIN cuts ON b.lang IS NOT DISTINCT FROM cuts.lang
 """
 
+_LEAKS = r"""
+WITH word_lists AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+item_lists AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+windows AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS k, list_slice(w, i, i + least(len(w), 10) - 1) AS g
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM item_lists WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT k FROM windows),
+grams AS (
+  SELECT doc_id, k, i, list_slice(w, i, i + k - 1) AS g
+  FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM word_lists, sizes WHERE len(w) >= k)),
+hits AS (SELECT doc_id, i, k, item_id FROM grams JOIN windows USING (k, g)),
+per_word AS (SELECT doc_id, count(DISTINCT p) AS n FROM (
+  SELECT doc_id, unnest(range(i, i + k)) AS p FROM hits) GROUP BY doc_id),
+per_item AS (
+  SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS names
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(p.n, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(i.n, 0) AS BIGINT) AS n_items, sha256(coalesce(names, '')) AS items_sha256,
+       coalesce(p.n, 0) > 0 AS contaminated
+FROM word_lists AS d LEFT JOIN per_word AS p USING (doc_id) LEFT JOIN per_item AS i USING (doc_id)
+"""
+
 # The shuffled order is a hash that SQL does not have; all but ``taken`` is checked by SQL in the tests.
 
 ORACLES = {
     "op4_quality_rules": _QUALITY,
+    "op5_decontamination": _LEAKS,
 }
