@@ -74,7 +74,7 @@ class Scanner:
             return len(words), [], []
         blanks = np.flatnonzero(np.frombuffer(line, np.uint8) == 32)
         last = np.searchsorted(blanks, [end for end, _ in hits]) - 1
-        ranges = merged([(int(e) - size + 1, int(e)) for e, (size, _) in zip(last, hits)])
+        ranges = merged([(int(e) - size + 1, int(e)) for e, (_, (size, _)) in zip(last, hits)])
         return len(words), ranges, sorted({i for _, (_, items) in hits for i in items})
 
 
