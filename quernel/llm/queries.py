@@ -4,11 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quernel.llm import decontaminate, mixing, near_dup, quality, sharding
+from quernel.llm import decontaminate, line_dedup, mixing, near_dup, quality, secret_scan, sharding
 from quernel.llm.common import documents
 from quernel.sources import load_table
 
 
+def op1_line_dedup(spark, folder):
+    kept = line_dedup.dedup_lines(documents(spark, folder))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op3_sharding(spark, folder):
     return sharding.shard(documents(spark, folder))
 
@@ -38,12 +43,21 @@ def op8_near_duplicates(spark, folder):
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op9_secret_scan(spark, folder):
+    found = secret_scan.find_secrets(documents(spark, folder))
+    return found.select(
+        "doc_id", "n_assign", "n_access", "n_hex", F.sha2("base", 256).alias("base_sha256"), "spans"
+    )
+
+
 QUERIES = {
+    "op1_line_dedup": op1_line_dedup,
     "op3_sharding": op3_sharding,
     "op4_quality_rules": op4_quality_rules,
     "op5_decontamination": op5_decontamination,
     "op7_mixing": op7_mixing,
     "op8_near_duplicates": op8_near_duplicates,
+    "op9_secret_scan": op9_secret_scan,
 }
 
 _SPACE = r"[\x20\x09-\x0D]"
@@ -127,9 +141,85 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(p.n, 0) AS BIG
 FROM word_lists AS d LEFT JOIN per_word AS p USING (doc_id) LEFT JOIN per_item AS i USING (doc_id)
 """
 
+_LINES = r"""
+WITH lines AS (
+  SELECT doc_id, pos, l[pos] AS line,
+         translate(trim(l[pos], chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' '),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM (SELECT doc_id, l, unnest(range(1, len(l) + 1)) AS pos
+        FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents))),
+copied AS (
+  SELECT key, max(doc_id) AS last FROM lines WHERE length(key) >= 20
+  GROUP BY key HAVING count(DISTINCT doc_id) >= 3)
+SELECT doc_id, count(*) AS n_lines, count(last) FILTER (doc_id <> last) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (last IS NULL OR doc_id = last), ''))
+         AS kept_sha256
+FROM lines LEFT JOIN copied USING (key) GROUP BY doc_id
+"""
+
+_PLACES = """
+  SELECT doc_id, kind, pos, value, CAST(start AS BIGINT) AS start, CAST(start + n AS BIGINT) AS stop
+  FROM (
+    SELECT doc_id, kind, pos, v[pos] AS value, length(m[pos]) AS n,
+           list_sum(list_transform(p[1:pos], lambda x: length(x)))
+             + coalesce(list_sum(list_transform(m[1:pos - 1], lambda x: length(x))), 0) AS start
+    FROM (SELECT *, unnest(range(1, len(m) + 1)) AS pos FROM found))
+"""
+
+
+def _found(kind: int, pattern: str, group: int, where: str = "true") -> str:
+    pattern = pattern.replace("'", "''")
+    return f"""
+  SELECT doc_id, {kind} AS kind, regexp_extract_all(t, '{pattern}') AS m,
+         regexp_extract_all(t, '{pattern}', {group}) AS v, string_split_regex(t, '{pattern}') AS p
+  FROM texts WHERE {where}"""
+
+
+_SECRETS = f"""
+WITH texts AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+found AS (
+  {_found(0, secret_scan.ASSIGN, 2)} UNION ALL {_found(1, secret_scan.ACCESS, 0)}
+  UNION ALL {_found(2, secret_scan.HEX, 0)} UNION ALL {_found(4, secret_scan.BLOB, 0, "contains(t, 'AKIA')")}
+  UNION ALL {_found(5, secret_scan.ENDPOINT, 0, "contains(t, 'AKIA')")}),
+places AS ({_PLACES}),
+base AS (
+  SELECT * FROM places
+  WHERE kind = 0 AND length(value) >= 12 OR kind = 1 AND length(value) >= 18 OR kind = 2),
+weak_ids AS (SELECT * FROM places WHERE kind = 1 AND length(value) BETWEEN 8 AND 17),
+weak_secrets AS (
+  SELECT * FROM places WHERE kind = 0 AND length(value) BETWEEN 6 AND 11
+  UNION ALL
+  SELECT * FROM places AS p
+  WHERE kind = 4 AND regexp_matches(value, '[0-9]') AND regexp_matches(value, '[A-Z]')
+    AND regexp_matches(value, '[a-z]')
+    AND NOT EXISTS (FROM base AS b WHERE b.doc_id = p.doc_id AND p.start < b.stop AND b.start < p.stop)),
+ids AS (SELECT * FROM base WHERE kind = 1 UNION ALL FROM weak_ids),
+secrets AS (SELECT * FROM base WHERE kind <> 1 UNION ALL FROM weak_secrets),
+added AS (
+  SELECT doc_id, 3 AS kind, start, stop FROM weak_ids AS x
+  WHERE EXISTS (FROM secrets AS y WHERE x.doc_id = y.doc_id AND abs(x.start - y.start) <= 200)
+  UNION ALL
+  SELECT doc_id, kind, start, stop FROM weak_secrets AS x
+  WHERE EXISTS (FROM ids AS y WHERE x.doc_id = y.doc_id AND abs(x.start - y.start) <= 200)
+  UNION ALL
+  SELECT doc_id, kind, start, stop FROM places AS x
+  WHERE kind = 5 AND EXISTS (FROM ids AS y WHERE x.doc_id = y.doc_id AND abs(x.start - y.start) <= 200)
+    AND EXISTS (FROM secrets AS y WHERE x.doc_id = y.doc_id AND abs(x.start - y.start) <= 200)),
+every AS (SELECT doc_id, kind, start, stop, true AS b FROM base UNION ALL SELECT *, false FROM added),
+named AS (
+  SELECT *, concat_ws(':', [{", ".join(repr(k) for k in secret_scan.KINDS)}][kind + 1], start, stop) AS s FROM every)
+SELECT d.doc_id, count(*) FILTER (b AND kind = 0) AS n_assign, count(*) FILTER (b AND kind = 1) AS n_access,
+       count(*) FILTER (b AND kind = 2) AS n_hex,
+       sha256(coalesce(string_agg(s, ',' ORDER BY start, kind) FILTER (b), '')) AS base_sha256,
+       coalesce(string_agg(s, ',' ORDER BY start, kind), '') AS spans
+FROM texts AS d LEFT JOIN named USING (doc_id) GROUP BY d.doc_id
+"""
+
 # The shuffled order is a hash that SQL does not have; all but ``taken`` is checked by SQL in the tests.
 
 ORACLES = {
+    "op1_line_dedup": _LINES,
     "op4_quality_rules": _QUALITY,
     "op5_decontamination": _LEAKS,
+    "op9_secret_scan": _SECRETS,
 }
