@@ -49,3 +49,20 @@ def n_words(text: Column) -> Column:
 
 def text_bytes(text: Column) -> Column:
     return F.octet_length(text).cast("bigint")
+
+
+def text_hash(text: str | Column = "text") -> Column:
+    """With the id it names a row, also where ids are null or repeated with other texts."""
+    return F.xxhash64(whole(text))
+
+
+#: Rows up to which a list of rows is broadcast (16 bytes each); a larger one is joined by shuffle.
+BROADCAST_ROWS = 1_000_000
+
+
+def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """``docs`` less the rows with an (id, text hash) of ``gone``, which has columns doc_id and text_hash."""
+    gone = gone.select(F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_hash"))
+    small = gone.count() <= BROADCAST_ROWS
+    same = docs["doc_id"].eqNullSafe(F.col("gone_id")) & (text_hash(docs["text"]) == F.col("gone_hash"))
+    return docs.join(F.broadcast(gone) if small else gone, same, "left_anti")

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quernel.llm.common import whole
+from quernel.llm.common import text_hash, whole
 
 #: Fixed values of the contract: words of a window, and the bytes that make no word.
 WINDOW = 10
@@ -115,17 +115,17 @@ def _scan_with(windows, keep_text: bool):
                 n.append(count)
                 spans.append(code_points(text, merged(ranges + old)) if ranges else old_spans)
                 items.append(sorted({*found, *old_items}))
-            columns = [batch.column("doc_id"), *([batch.column("text")] if keep_text else [])]
+            columns = [batch.column(c) for c in ("doc_id", "text_hash", *(["text"] if keep_text else []))]
             yield pa.RecordBatch.from_arrays(
                 [*columns, pa.array(n, pa.int64()), pa.array(spans, _SPANS), pa.array(items, pa.list_(pa.string()))],
-                ["doc_id", *(["text"] if keep_text else []), "n_words", "spans", "items"],
+                ["doc_id", "text_hash", *(["text"] if keep_text else []), "n_words", "spans", "items"],
             )
 
     return run
 
 
 def find(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """(doc_id, n_words, spans, items), a row per document.
+    """(doc_id, text_hash, n_words, spans, items), a row per document.
 
     ``spans`` are the places inside any occurrence of an item's window: first
     and last word, and the code point offsets in the original text. ``items`` are
@@ -141,22 +141,24 @@ def find(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES)
     block = F.pmod(F.xxhash64("item_id", "item"), F.lit(blocks))
     none = F.array().cast(T.ArrayType(_SPAN)), F.array().cast("array<string>")
     rows = docs.select(
-        "doc_id", whole().cast("binary").alias("text"), F.lit(0).cast("bigint").alias("n_words"),
+        "doc_id", text_hash().alias("text_hash"), whole().cast("binary").alias("text"), F.lit(0).cast("bigint").alias("n_words"),
         none[0].alias("spans"), none[1].alias("items"),
     )
-    doc_id = docs.schema["doc_id"]
+    names = [docs.schema["doc_id"], T.StructField("text_hash", T.LongType())]
     for k in range(blocks):
         chosen = items.filter(block == k).collect()
         windows = spark.sparkContext.broadcast(item_windows(chosen))
         last = k == blocks - 1
         text = [] if last else [T.StructField("text", T.BinaryType())]
-        rows = rows.mapInArrow(_scan_with(windows, not last), T.StructType([doc_id, *text, *_FOUND]))
+        rows = rows.mapInArrow(_scan_with(windows, not last), T.StructType([*names, *text, *_FOUND]))
     return rows
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """(doc_id, n_words, n_hit, items, contaminated) from ``find``."""
+    """(doc_id, text_hash, n_words, n_hit, items, contaminated) from ``find``."""
     hit = F.aggregate(
         "spans", F.lit(0).cast("bigint"), lambda n, s: n + s["last_word"] - s["first_word"] + F.lit(1).cast("bigint")
     )
-    return find(docs, benchmark).select("doc_id", "n_words", hit.alias("n_hit"), "items", (hit > 0).alias("contaminated"))
+    return find(docs, benchmark).select(
+        "doc_id", "text_hash", "n_words", hit.alias("n_hit"), "items", (hit > 0).alias("contaminated")
+    )

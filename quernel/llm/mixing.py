@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quernel.llm.common import n_words, whole
+from quernel.llm.common import n_words, text_hash, whole
 from quernel.session import materialize
 
 #: Fixed values of the contract: weights of the sources in order, and the most copies.
@@ -84,7 +84,7 @@ def mix(
             "doc_id",
             "source",
             F.xxhash64(F.lit(seed), "doc_id").alias("draw"),
-            F.xxhash64(whole()).alias("text_hash"),
+            text_hash().alias("text_hash"),
             n_words(whole()).alias("size"),
         ),
         "mix-sizes",
@@ -189,3 +189,22 @@ def _cut(queued: DataFrame, times, most: int, blocks: int):
         F.lit(key.text_hash).cast("bigint").alias("text_hash"), F.lit(key.epoch).alias("epoch"),
     )
 
+
+
+def mixed_rows(docs: DataFrame, **settings) -> DataFrame:
+    """Rows of ``docs``, each as often as the mix takes it, with the columns of ``docs``."""
+    taken = mix(docs, **settings).groupBy(F.col("doc_id").alias("mix_id"), F.col("text_hash").alias("mix_hash"))
+    taken = taken.agg(F.sum("copies").alias("mix_copies"), F.count("*").alias("mix_rows"))
+    taken = materialize(taken, "mix-copies")
+    same = docs["doc_id"].eqNullSafe(F.col("mix_id")) & (text_hash(docs["text"]) == F.col("mix_hash"))
+    joined = docs.join(taken, same)
+    copies = F.col("mix_copies")
+    if not taken.filter("mix_rows > 1").isEmpty():
+        # Equal rows share their copies: as many each as can be, one more for the first ones.
+        place = F.row_number().over(Window.partitionBy("mix_id", "mix_hash").orderBy(F.lit(0)))
+        joined = joined.withColumn("mix_place", place)
+        extra = (F.col("mix_place") <= F.col("mix_copies") % F.col("mix_rows")).cast("bigint")
+        copies = F.floor(F.col("mix_copies") / F.col("mix_rows")) + extra
+    often = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("mix_n")))
+    kept = joined.withColumn("mix_n", copies.cast("bigint")).filter("mix_n > 0")
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns], often.alias("mix_copy")).drop("mix_copy")

@@ -81,7 +81,7 @@ def _count(text: Column, characters: str) -> Column:
 
 
 def measures(docs: DataFrame, keys=("doc_id", "lang")) -> DataFrame:
-    """The keys and n_words, word_chars, n_symbols, n_marks, n_dup_lines, n_repeat_words, base_failed."""
+    """The keys, and n_words, word_chars, n_symbols, n_marks, n_dup_lines, n_repeat_words, base_failed."""
     text = whole()
     lines = F.filter(F.split(text, "\n"), lambda x: strip(x) != "")
     measured = docs.select(
@@ -97,7 +97,7 @@ def measures(docs: DataFrame, keys=("doc_id", "lang")) -> DataFrame:
     )
     failed = (F.col("w.n") < LEAST_WORDS) | (100 * F.col("w.repeated") > MOST_REPEATED * F.col("w.n"))
     return measured.select(
-        *keys, F.col("w.n").alias("n_words"), "word_chars", "n_symbols", "n_marks", "n_dup_lines",
+        *measured.columns[: len(keys)], F.col("w.n").alias("n_words"), "word_chars", "n_symbols", "n_marks", "n_dup_lines",
         F.col("w.repeated").alias("n_repeat_words"), failed.alias("base_failed"),
     )
 

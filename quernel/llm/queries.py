@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quernel.llm import decontaminate, line_dedup, mixing, near_dup, quality, secret_scan, sharding
+from quernel.llm import decontaminate, line_dedup, lm, mixing, near_dup, quality, secret_scan, sharding
 from quernel.llm.common import documents
 from quernel.sources import load_table
 
@@ -50,6 +50,10 @@ def op9_secret_scan(spark, folder):
     )
 
 
+def op10_lm_scoring(spark, folder):
+    return lm.score(documents(spark, folder))
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op3_sharding": op3_sharding,
@@ -58,6 +62,7 @@ QUERIES = {
     "op7_mixing": op7_mixing,
     "op8_near_duplicates": op8_near_duplicates,
     "op9_secret_scan": op9_secret_scan,
+    "op10_lm_scoring": op10_lm_scoring,
 }
 
 _SPACE = r"[\x20\x09-\x0D]"

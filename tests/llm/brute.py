@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import math
 import re
+import zlib
 from collections import Counter, defaultdict
 
 UP = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -37,3 +39,54 @@ def near_duplicates(docs, bound=85):
             a, b = sorted((root(a), root(b)))
             parent[b] = a
     return {i: (len(sets[i]), root(i), root(i) == i) for i in docs}
+
+
+def _discounts(counts):
+    c = [sum(v == k for v in counts) for k in (1, 2, 3, 4)]
+    y = c[0] / (c[0] + 2 * c[1]) if c[0] else 0.5
+    d = [k - (k + 1) * y * c[k] / c[k - 1] if c[k - 1] else k / 2 for k in (1, 2, 3)]
+    d = [x if 0 < x <= k else k / 2 for k, x in zip((1, 2, 3), d)]
+    return lambda n: 0 if n == 0 else d[min(n, 3) - 1]
+
+
+class KneserNey:
+    """Interpolated modified Kneser-Ney of order two over documents, with words as they are."""
+
+    def __init__(self, docs):
+        self.words, self.pairs = Counter(), Counter()
+        for text in docs:
+            tokens = [*words(text), "\n"]
+            self.words.update(tokens)
+            self.pairs.update(zip([""] + tokens, tokens))
+        self.before, self.after = Counter(w for _, w in self.pairs), defaultdict(list)
+        self.seen = Counter()
+        for (v, _), n in self.pairs.items():
+            self.after[v].append(n)
+            self.seen[v] += n
+        self.d, self.e = _discounts(self.pairs.values()), _discounts(self.before.values())
+        self.rest = sum(map(self.e, self.before.values())) / max(1, len(self.pairs)) if self.pairs else 1.0
+
+    def lower(self, w):
+        k = self.before[w]
+        return max(k - self.e(k), 0) / max(1, len(self.pairs)) + self.rest / (len(self.words) + 1)
+
+    def p(self, v, w):
+        if not self.seen[v]:
+            return self.lower(w)
+        c = self.pairs[v, w]
+        gamma = sum(map(self.d, self.after[v])) / self.seen[v]
+        return max(c - self.d(c), 0) / self.seen[v] + gamma * self.lower(w)
+
+
+def lm_scores(docs):
+    """{doc_id: (held_out, n_tokens, n_known, train_tokens, base_score, score)} of {doc_id: text}."""
+    held = {i: zlib.crc32(str(i).encode()) % 7 == 2 for i in docs}
+    model = KneserNey(t for i, t in docs.items() if not held[i])
+    total, size = sum(model.words.values()), len(model.words)
+    out = {}
+    for i, text in docs.items():
+        tokens = [*words(text), "\n"]
+        base = sum(math.log10((model.words[w] + 1) / (total + size + 1)) for w in tokens)
+        score = sum(math.log10(model.p(v, w)) for v, w in zip([""] + tokens, tokens))
+        out[i] = (held[i], len(tokens), sum(model.words[w] > 0 for w in tokens), total, base, score)
+    return out
