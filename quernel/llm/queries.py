@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quernel.llm import decontaminate, line_dedup, lm, mixing, near_dup, quality, secret_scan, sharding
+from quernel.llm import decontaminate, line_dedup, lm, mixing, near_dup, quality, secret_scan, sharding, token_output
 from quernel.llm.common import documents
 from quernel.sources import load_table
 
@@ -14,6 +14,13 @@ def op1_line_dedup(spark, folder):
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op2_token_output(spark, folder):
+    import public_tokenizers
+
+    vocabulary = public_tokenizers.path(token_output.VOCABULARY)
+    return token_output.round_trip(documents(spark, folder), vocabulary)
+
+
 def op3_sharding(spark, folder):
     return sharding.shard(documents(spark, folder))
 
@@ -56,6 +63,7 @@ def op10_lm_scoring(spark, folder):
 
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_token_output": op2_token_output,
     "op3_sharding": op3_sharding,
     "op4_quality_rules": op4_quality_rules,
     "op5_decontamination": op5_decontamination,
