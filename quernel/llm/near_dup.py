@@ -11,10 +11,11 @@
    chance collisions, is below the bound by more than ``SIGMAS`` deviations
    go; the others are verified on full sets.
 5. Verified links give components. Where members of a bucket other than
-   its leader lie in different components, these are compared with each
-   other as well, register against register, in blocks of bounded size; pairs that pass
-   the estimate are verified. Pairs inside a component can't change it, so no
-   link that matters is left out, and no group is expanded into all its pairs.
+   its leader lie in different components, these are compared with each other
+   as well: registers first, then full sets, inside tasks, in blocks of bounded
+   size that return only the links that tie components. Pairs inside a component
+   can't change it, so no link that matters is left out, and no group is
+   expanded into rows for all its pairs.
 
 A pair at the bound shares no band with a probability of 4e-8.
 Components are found by alternating large and small stars on written edges.
@@ -26,11 +27,12 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quernel.llm import hashing
+from quernel.llm.common import text_hash, without
 from quernel.session import materialize
 
 #: Fixed values of the contract: shingle length, and link at 100 * common >= 85 * union.
@@ -42,6 +44,8 @@ MANTISSA = 10
 SIGMAS = 5.0
 #: Members that one task compares with as many others at once.
 BLOCK = 1024
+#: Bytes of their sets, likewise.
+BLOCK_BYTES = 32 << 20
 #: Ids up to which a list of documents is broadcast (8 bytes each); a larger one is joined by shuffle.
 BROADCAST_IDS = 1_000_000
 
@@ -146,24 +150,24 @@ _ID = T.StructField("doc_id", T.LongType())
 def _signed(batches):
     for batch in batches:
         n, print_of, regs = [], [], []
-        for words in hashing.batch_words(batch.column(1)):
+        for words in hashing.batch_words(batch.column(2)):
             s = shingle_set(words)
             n.append(len(s))
             print_of.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
             regs.append(registers(s).tobytes())
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(n, pa.int64()), pa.array(print_of, pa.binary()), pa.array(regs, pa.binary())],
-            ["doc_id", "n_shingles", "print", "regs"],
+            [*batch.columns[:2], pa.array(n, pa.int64()), pa.array(print_of, pa.binary()), pa.array(regs, pa.binary())],
+            ["doc_id", "text_hash", "n_shingles", "print", "regs"],
         )
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, print, regs): the size, a 128-bit fingerprint and the registers of a row's full set."""
+    """(doc_id, text_hash, n_shingles, print, regs): the size, a 128-bit fingerprint and the registers of a row's full set."""
     schema = T.StructType(
-        [_ID, T.StructField("n_shingles", T.LongType()), T.StructField("print", T.BinaryType()),
+        [_ID, T.StructField("text_hash", T.LongType()), T.StructField("n_shingles", T.LongType()), T.StructField("print", T.BinaryType()),
          T.StructField("regs", T.BinaryType())]
     )
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("binary").alias("text"))
+    rows = docs.select(F.col("doc_id").cast("bigint"), text_hash().alias("text_hash"), F.col("text").cast("binary"))
     return rows.mapInArrow(_signed, schema)
 
 
@@ -192,17 +196,19 @@ def _estimated(batches):
             )
 
 
-def _common(a: np.ndarray, b: np.ndarray) -> int:
-    return len(np.intersect1d(a, b, assume_unique=True))
+def _linked(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether two sorted sets reach the bound."""
+    if len(a) > len(b):
+        a, b = b, a
+    common = int((b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a).sum())
+    return 100 * common >= BOUND * (len(a) + len(b) - common)
 
 
 def _verified(batches):
     for batch in batches:
         keep = []
         for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-            x, y = np.frombuffer(x, _U64), np.frombuffer(y, _U64)
-            common = _common(x, y)
-            keep.append(100 * common >= BOUND * (len(x) + len(y) - common))
+            keep.append(_linked(np.frombuffer(x, _U64), np.frombuffer(y, _U64)))
         yield pa.RecordBatch.from_arrays(
             [batch.column(i).filter(pa.array(keep, pa.bool_())) for i in (0, 1)], ["a", "b"]
         )
@@ -214,24 +220,32 @@ def _sets(batches):
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["vertex", "shingles"])
 
 
-def _block_pairs(key, table):
-    """Pairs of one block that lie in different components and pass the size and the estimate."""
+def _block_links(key, table):
+    """Links between different components among the members of one block, enough to tie what they tie.
+
+    A pair that shares several bands is looked at in the first of them only.
+    Pairs that pass the size and the estimate are verified on full sets.
+    """
     table = table.combine_chunks()
     vertex, component, n, part = (table.column(c).to_numpy() for c in ("vertex", "component", "n_shingles", "part"))
-    regs = _matrix(table.column("regs").chunk(0)) if table.num_rows else np.zeros((0, BUCKETS), np.uint16)
+    regs = _matrix(table.column("regs").chunk(0))
+    sets = [np.frombuffer(x, _U64) for x in table.column("shingles").to_pylist()]
+    keys = np.array([band_keys(r) for r in regs])
+    band = int(np.flatnonzero(keys[0] == key[0].as_py())[0])
     i, j = key[1].as_py(), key[2].as_py()
     left, right = np.flatnonzero(part == i), np.flatnonzero(part == j)
-    found_a, found_b = [], []
+    group = component.copy()
+    links = []
     for x in left:
         y = right[right > x] if i == j else right
-        y = y[component[y] != component[x]]
-        y = y[100 * np.minimum(n[y], n[x]) >= BOUND * np.maximum(n[y], n[x])]
-        if len(y):
-            y = y[likely(regs[x][None, :], regs[y], n[[x]], n[y])]
-            found_a.append(np.minimum(vertex[y], vertex[x]))
-            found_b.append(np.maximum(vertex[y], vertex[x]))
-    empty = np.zeros(0, np.int64)
-    return pa.table({"a": np.concatenate([empty, *found_a]), "b": np.concatenate([empty, *found_b])})
+        y = y[(group[y] != group[x]) & (100 * np.minimum(n[y], n[x]) >= BOUND * np.maximum(n[y], n[x]))]
+        y = y[likely(regs[x][None, :], regs[y], n[[x]], n[y])] if len(y) else y
+        y = y[(keys[y] == keys[x]).argmax(axis=1) == band] if len(y) else y
+        for z in y:
+            if group[z] != group[x] and _linked(sets[x], sets[z]):
+                links.append((vertex[x], vertex[z]))
+                group[group == group[z]] = group[x]
+    return pa.table({c: pa.array([min(p) if c == "a" else max(p) for p in links], pa.int64()) for c in "ab"})
 
 
 _PAIR = "a bigint, b bigint"
@@ -279,7 +293,7 @@ def _only(docs: DataFrame, ids: DataFrame, column: str) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, print, class_id, component_id, kept), a row per row of ``docs``.
+    """(doc_id, text_hash, n_shingles, class_id, component_id, kept), a row per row of ``docs``.
 
     Ids are integers. Rows that share an id are one document: whatever any of them is linked with is linked.
     A row without text or words has an empty set and is linked with nothing;
@@ -325,24 +339,29 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .join(parts, "vertex", "left")
         .select("key", "vertex", F.coalesce("component", "vertex").alias("component"))
     )
+    others = others.join(sketch.select("vertex", "n_shingles"), "vertex")
     open_keys = (
         others.groupBy("key")
-        .agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("rest"))
+        .agg(
+            F.min("component").alias("low"),
+            F.max("component").alias("high"),
+            F.greatest(F.count("*") / BLOCK, 8 * F.sum("n_shingles") / BLOCK_BYTES).alias("blocks"),
+        )
         .filter("low < high")
-        .select("key", F.ceil(F.col("rest") / BLOCK).cast("int").alias("parts"))
+        .select("key", F.ceil("blocks").cast("int").alias("parts"))
     )
-    rows = materialize(others.join(open_keys, "key"), "near-open")
+    rows = materialize(others.drop("n_shingles").join(open_keys, "key"), "near-open")
     if not rows.isEmpty():
-        rows = rows.join(sketch, "vertex").withColumn("part", F.pmod(F.xxhash64("vertex"), F.col("parts")).cast("int"))
+        rows = rows.withColumn("part", F.pmod(F.xxhash64("vertex"), F.col("parts")).cast("int"))
         every = F.sequence(F.lit(0), F.col("parts") - 1)
         block = F.explode(
             F.transform(every, lambda p: F.struct(F.least("part", p).alias("i"), F.greatest("part", p).alias("j")))
         )
-        rows = rows.withColumn("block", block).select(
-            "key", "block.i", "block.j", "part", "vertex", "component", "n_shingles", "regs"
+        rows = rows.withColumn("block", block).join(sketch, "vertex").join(sets, "vertex")
+        rows = rows.select(
+            "key", "block.i", "block.j", "part", "vertex", "component", "n_shingles", "regs", "shingles"
         )
-        more = rows.groupBy("key", "i", "j").applyInArrow(_block_pairs, _PAIR).distinct()
-        more = _verify(more.join(star, ["a", "b"], "left_anti"), sets)
+        more = rows.groupBy("key", "i", "j").applyInArrow(_block_links, _PAIR)
         tied = parts.filter("vertex <> component").select(F.col("vertex").alias("a"), F.col("component").alias("b"))
         links = materialize(more.union(tied), "near-more-links")
         parts = materialize(components(links, "near-stars"), "near-components")
@@ -355,8 +374,26 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .withColumn("class_id", F.when(F.col("n_shingles") > 0, F.coalesce("class_id", "doc_id")).otherwise(F.col("doc_id")))
         .join(parts, F.col("class_id") == F.col("vertex"), "left")
         .select(
-            "doc_id", "n_shingles", "print", "class_id",
+            "doc_id", "text_hash", "n_shingles", "class_id",
             F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "class_id")).alias("component_id"),
         )
         .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
     )
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """``docs`` with one row of each group of near duplicates: the one with the least id.
+
+    Of rows that share an id, one document as they are, the one with the least text hash stays. Rows
+    without an id all stay.
+    """
+    found = materialize(near_duplicates(docs).select("doc_id", "text_hash", "kept"), "near-kept")
+    docs = without(docs, found.filter(~F.col("kept")))
+    repeated = found.filter("kept AND doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1")
+    repeated = materialize(repeated.select(F.col("doc_id").alias("again")), "near-repeated")
+    if repeated.isEmpty():
+        return docs
+    first = Window.partitionBy("doc_id").orderBy(text_hash(), *[c for c, t in docs.dtypes if not t.startswith("map")])
+    several = docs.join(repeated, docs["doc_id"] == F.col("again"), "left_semi")
+    several = several.withColumn("__place", F.row_number().over(first)).filter("__place = 1").drop("__place")
+    return docs.join(repeated, docs["doc_id"] == F.col("again"), "left_anti").unionByName(several)
