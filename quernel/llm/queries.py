@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quernel.llm import decontaminate, line_dedup, lm, mixing, near_dup, quality, secret_scan, sharding, token_output
+from quernel.llm import decontaminate, licenses, line_dedup, lm, mixing, near_dup, quality, secret_scan, sharding, token_output
 from quernel.llm.common import documents
 from quernel.sources import load_table
 
@@ -40,6 +40,16 @@ def op5_decontamination(spark, folder):
     )
 
 
+def op6_license_scan(spark, folder):
+    found = licenses.scan(documents(spark, folder))
+    dice = F.array_max(F.transform("matches", lambda m: m["dice"]))
+    names = F.array_sort(F.array_distinct(F.transform("matches", lambda m: m["license"])))
+    return found.select(
+        "doc_id", F.size("matches").cast("bigint").alias("n_matches"), F.array_join(names, ",").alias("licenses"),
+        F.round(dice, 6).alias("best_dice"),
+    )
+
+
 def op7_mixing(spark, folder):
     mixed = mixing.mix(documents(spark, folder))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -67,6 +77,7 @@ QUERIES = {
     "op3_sharding": op3_sharding,
     "op4_quality_rules": op4_quality_rules,
     "op5_decontamination": op5_decontamination,
+    "op6_license_scan": op6_license_scan,
     "op7_mixing": op7_mixing,
     "op8_near_duplicates": op8_near_duplicates,
     "op9_secret_scan": op9_secret_scan,
@@ -228,11 +239,42 @@ SELECT d.doc_id, count(*) FILTER (b AND kind = 0) AS n_assign, count(*) FILTER (
 FROM texts AS d LEFT JOIN named USING (doc_id) GROUP BY d.doc_id
 """
 
+_TEMPLATES = ", ".join("(" + repr(k) + ", '" + v.replace("'", "''") + "')" for k, v in licenses.TEMPLATES.items())
+_NORMAL = r"""regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+_BIGRAMS = "list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])"
+_LICENSES = f"""
+WITH parts AS (
+  SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS p FROM documents
+  UNION ALL
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '\n[\x20\x09-\x0D]*\n'),
+         lambda x: contains(x, chr(10))) FROM documents),
+segments AS (
+  SELECT row_number() OVER () AS s, doc_id, {_NORMAL.format("part")} AS w
+  FROM (SELECT doc_id, unnest(p) AS part FROM parts)),
+pieces AS (SELECT s, doc_id, len(w) - 1 AS n, unnest({_BIGRAMS}) AS g FROM segments WHERE len(w) > 1),
+have AS (SELECT s, doc_id, n, g, count(*) AS c FROM pieces GROUP BY ALL),
+templates AS (SELECT name, {_NORMAL.format("body")} AS w FROM (VALUES {_TEMPLATES}) AS t(name, body)),
+want AS (
+  SELECT name, n, g, count(*) AS c
+  FROM (SELECT name, len(w) - 1 AS n, unnest({_BIGRAMS}) AS g FROM templates) GROUP BY ALL),
+matches AS (
+  SELECT s, doc_id, name, 2 * sum(least(have.c, want.c)) / (have.n + want.n) AS dice
+  FROM have JOIN want USING (g) GROUP BY s, doc_id, name, have.n, want.n
+  HAVING 2 * sum(least(have.c, want.c)) / (have.n + want.n) >= {licenses.BOUND}),
+per_doc AS (
+  SELECT doc_id, count(*) AS n, max(dice) AS best, string_agg(DISTINCT name, ',' ORDER BY name) AS names
+  FROM matches GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n, 0) AS n_matches, coalesce(names, '') AS licenses, round(best, 6) AS best_dice
+FROM documents AS d LEFT JOIN per_doc USING (doc_id)
+"""
+
 # The shuffled order is a hash that SQL does not have; all but ``taken`` is checked by SQL in the tests.
 
 ORACLES = {
     "op1_line_dedup": _LINES,
     "op4_quality_rules": _QUALITY,
     "op5_decontamination": _LEAKS,
+    "op6_license_scan": _LICENSES,
     "op9_secret_scan": _SECRETS,
 }
