@@ -90,3 +90,79 @@ def lm_scores(docs):
         score = sum(math.log10(model.p(v, w)) for v, w in zip([""] + tokens, tokens))
         out[i] = (held[i], len(tokens), sum(model.words[w] > 0 for w in tokens), total, base, score)
     return out
+
+
+def targets(sizes, weights=(1, 2, 3), most=3):
+    """{source: target} of {source: size}, by rounds: cap what is above, share the rest again."""
+    from fractions import Fraction
+
+    order = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
+    weight = {s: weights[i % len(weights)] for i, s in enumerate(order)}
+    free, rest, out = set(order), sum(sizes.values()), {}
+    while free:
+        total = sum(weight[s] for s in free)
+        share = {s: Fraction(rest * weight[s], total) for s in free}
+        above = {s for s in free if share[s] > most * sizes[s]}
+        if not above:
+            return out | share
+        for s in above:
+            out[s] = Fraction(most * sizes[s])
+            rest -= most * sizes[s]
+        free -= above
+    return out
+
+
+def mix(docs, seed=7, most=3):
+    """{doc_id: (size, source_size, target, taken)} of {doc_id: (text, source)}, one queue after the other merged."""
+    import struct
+
+    import xxhash
+
+    def draw(i):
+        first = xxhash.xxh64_intdigest(struct.pack("<i", seed), 42)
+        h = xxhash.xxh64_intdigest(struct.pack("<q", i), first)
+        return h - 2**64 if h >= 2**63 else h
+
+    size = {i: len(words(t)) for i, (t, _) in docs.items()}
+    of = {i: s for i, (_, s) in docs.items()}
+    total = Counter()
+    for i, s in of.items():
+        total[s] += size[i]
+    target = {s: float(t) for s, t in targets(total).items()}
+    entries, upto = [], Counter()
+    # Blocks are prefixes of the drawn bits, so the order is that of the unsigned number's leading bits.
+    for i in sorted(docs, key=draw):
+        upto[of[i]] += size[i]
+        for e in range(most):
+            if size[i]:
+                entries.append(((e * total[of[i]] + upto[of[i]]) / target[of[i]], draw(i), e, i))
+    taken, budget = Counter(), sum(size.values())
+    for _, _, _, i in sorted(entries):
+        budget -= size[i]
+        if budget < 0:
+            break
+        taken[i] += size[i]
+    return {i: (size[i], total[of[i]], target[of[i]], taken[i]) for i in docs}
+
+
+def contaminated(docs, items):
+    """{doc_id: (n_words, n_hit, items)} of {doc_id: text} and {item_id: text}."""
+    pattern = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+    split = lambda t: pattern.findall((t or "").translate(UP))
+    grams = defaultdict(set)
+    for i, text in items.items():
+        w = split(text)
+        size = min(10, len(w))
+        for k in range(len(w) - size + 1 if size else 0):
+            grams[tuple(w[k : k + size])].add(str(i))
+    out = {}
+    for i, text in docs.items():
+        w, hit, found = split(text), set(), set()
+        for size in {len(g) for g in grams}:
+            for k in range(len(w) - size + 1):
+                names = grams.get(tuple(w[k : k + size]))
+                if names:
+                    hit |= set(range(k, k + size))
+                    found |= names
+        out[i] = (len(w), len(hit), sorted(found))
+    return out
