@@ -63,6 +63,7 @@ def build_parser() -> argparse.ArgumentParser:
     sub.add_argument("source", type=int)
     sub.add_argument("dest", type=int)
     sub.add_argument("--debug", action="store_true", help="write the paths of each round")
+    sub.add_argument("--max-hops", type=int, default=6, help="most edges of the path; 0 for any number")
     for name in ("order-report", "order-lookup"):
         sub = job(name, "output")
         sub.add_argument("keys", nargs="+")
@@ -124,7 +125,7 @@ def _run(spark, args):
     elif a.job == "load-logs":
         tables.load_logs(spark, a.inputs, a.path, a.format, a.partitions, a.key, **_options(a.option))
     elif a.job == "shortest-path":
-        tables.shortest_path(spark, a.inputs, a.output, a.source, a.dest, a.debug)
+        tables.shortest_path(spark, a.inputs, a.output, a.source, a.dest, a.debug, a.max_hops or None)
     elif a.job == "order-report":
         return tables.order_report(spark, a.output, a.keys, a.format, a.folder, **_options(a.option))
     elif a.job == "order-lookup":

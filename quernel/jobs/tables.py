@@ -53,14 +53,20 @@ def load_logs(
 
 
 def shortest_path(
-    spark: SparkSession, inputs: str, output: str, start: int, target: int, debug: bool = False
+    spark: SparkSession,
+    inputs: str,
+    output: str,
+    start: int,
+    target: int,
+    debug: bool = False,
+    max_hops: int | None = graph.MAX_HOPS,
 ):
-    """One shortest path of at most six edges, a node per line, under ``output/path``."""
+    """One shortest path, a node per line, under ``output/path``; without ``max_hops`` of any length."""
     adjacency = sources.adjacency_lines(spark, inputs)
     edges = graph.edges(adjacency).select(
         F.trim("source").try_cast("bigint").alias("source"), F.col("dest").try_cast("bigint").alias("dest")
     )
-    found = graph.search(edges, start, target, debug_path=output if debug else None)
+    found = graph.search(edges, start, target, max_hops, debug_path=output if debug else None)
     lines = graph.path_lines(found, start, target)
     sources.save_lines(lines, f"{output}/path", single_file=True)
 

@@ -7,7 +7,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quernel.operators.joins import lookup_join
+from quernel.operators.joins import hot_keys, lookup_join
 from quernel.session import materialize
 
 ORDER_LINE = "Order #%d $%.2f: %s"
@@ -112,11 +112,13 @@ def lines_of(
 def latest(df: DataFrame, keys: Sequence[str], version: str) -> DataFrame:
     """Last row written per key, as a table with a primary key keeps it.
 
-    An aggregate, not a window: rows of a much-written key combine before the
+    Of rows with the same version, the largest by their columns in order. An
+    aggregate, not a window: rows of a much-written key combine before the
     shuffle.
     """
     whole = F.struct(*df.columns)
-    return df.groupBy(*keys).agg(F.max_by(whole, version).alias("_row")).select("_row.*")
+    last = F.max(F.struct(F.col(version).alias("_version"), whole.alias("_row")))
+    return df.groupBy(*keys).agg(last.alias("_last")).select("_last._row.*")
 
 
 def upsert(base: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -133,6 +135,16 @@ def orders_using(
     return lines.join(changed.select(part_key), part_key, "left_semi").select(order_key).distinct()
 
 
+def _large_orders(lineitem: DataFrame, order_key: str):
+    """Keys of the orders with too many lines for a task, counted only if the join asks for them."""
+
+    def hot():
+        counts = lineitem.groupBy(order_key).agg(F.count(F.lit(1)).alias("_n"))
+        return materialize(hot_keys(counts, [order_key], "_n"), "large-orders")
+
+    return hot
+
+
 def rebuild(
     wide: DataFrame,
     orders: DataFrame,
@@ -148,11 +160,14 @@ def rebuild(
 
     For new, changed and deleted orders. The base tables are those after the
     change; an order that is gone, or has no parts left, drops out.
+
+    Lines of an order too large for a task meet a broadcast of such orders and
+    are not shuffled by order.
     """
     touched = materialize(touched.select(order_key), "touched-orders")
     again = denormalize(
         lookup_join(orders, touched, [order_key]).select(*orders.columns),
-        lookup_join(lineitem, touched, [order_key]).select(*lineitem.columns),
+        lookup_join(lineitem, touched, [order_key], _large_orders(lineitem, order_key)).select(*lineitem.columns),
         part,
         order_key,
         part_key,

@@ -1,7 +1,8 @@
-"""Edges from adjacency text, and bounded shortest paths over an edge table."""
+"""Edges from adjacency text, and shortest paths over an edge table."""
 
 from __future__ import annotations
 
+import itertools
 import uuid
 
 from pyspark.sql import DataFrame
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from quernel.operators.joins import BROADCAST_BYTES, HOT_ROWS, hot_keys, row_bytes
 from quernel.session import materialize, scratch_path
 
+# Fixed value: the bound of the command-line job.
 MAX_HOPS = 6
 
 
@@ -20,10 +22,15 @@ def edges(adjacency: DataFrame, source: str = "source", dest: str = "dest") -> D
 
 
 class Paths:
-    """Levels of a breadth-first search: each a written table (node, path)."""
+    """Levels of a breadth-first search: each a written table (node, path).
 
-    def __init__(self, levels: list[DataFrame]):
+    ``bound`` is the number of edges at which the search was stopped, or None
+    if it went on until it had what it was to find.
+    """
+
+    def __init__(self, levels: list[DataFrame], bound: int | None = None):
         self._levels = levels
+        self.bound = bound
 
     def _tagged(self, *columns) -> DataFrame:
         tagged = [
@@ -117,7 +124,7 @@ def search(
     edge_table: DataFrame,
     start,
     target=None,
-    max_hops: int = MAX_HOPS,
+    max_hops: int | None = None,
     strategy: str = "auto",
     hot_rows: int = HOT_ROWS,
     limit: int = BROADCAST_BYTES,
@@ -127,43 +134,54 @@ def search(
 
     Each round joins the newest level with the edges, keeps one row per new
     node, and writes it to the shared folder, which cuts the lineage. Stops at
-    ``target``, at ``max_hops``, or when nothing new is found.
+    ``target``, when nothing new is found, or, if it is given, at ``max_hops``.
     """
     spark = edge_table.sparkSession
     store = EdgeStore(edge_table, hot_rows, limit)
     kind = store.edges.schema["source"].dataType.simpleString()
     first = spark.range(0, 1, 1, 1).select(F.lit(start).cast(kind).alias("node"))
     levels = [materialize(first.withColumn("path", F.array("node")), "level")]
-    size, found = 0, start == target
-    for hop in range(1, max_hops + 1):
-        if found:
-            break
-        reached = store.expand(levels[-1], size, strategy)
-        best = reached.groupBy(F.col("dest").alias("node")).agg(F.min("path").alias("path"))
-        known = levels[0].select("node")
-        for level in levels[1:]:
-            known = known.union(level.select("node"))
-        fresh = best.join(known, "node", "left_anti")
-        level = materialize(
-            fresh.select("node", F.concat("path", F.array("node")).alias("path")), "level"
-        )
-        # One pass tells whether to go on and how to join the next round.
-        is_target = F.lit(False) if target is None else F.col("node") == F.lit(target).cast(kind)
-        size, found = level.agg(F.sum(row_bytes(level)), F.max(is_target)).first()
-        if size is None:
-            break
-        levels.append(level)
-        if debug_path:
-            Paths(levels).parents().write.json(f"{debug_path}/iter-{hop - 1}")
-    store.close()
-    return Paths(levels)
+    size, found, bound = 0, start == target, None
+    try:
+        for hop in itertools.count(1):
+            if found:
+                break
+            if max_hops is not None and hop > max_hops:
+                bound = max_hops
+                break
+            reached = store.expand(levels[-1], size, strategy)
+            best = reached.groupBy(F.col("dest").alias("node")).agg(F.min("path").alias("path"))
+            known = levels[0].select("node")
+            for level in levels[1:]:
+                known = known.union(level.select("node"))
+            fresh = best.join(known, "node", "left_anti")
+            level = materialize(
+                fresh.select("node", F.concat("path", F.array("node")).alias("path")), "level"
+            )
+            # One pass tells whether to go on and how to join the next round.
+            is_target = F.lit(False) if target is None else F.col("node") == F.lit(target).cast(kind)
+            size, found = level.agg(F.sum(row_bytes(level)), F.max(is_target)).first()
+            if size is None:
+                break
+            levels.append(level)
+            if debug_path:
+                Paths(levels).parents().write.json(f"{debug_path}/iter-{hop - 1}")
+    finally:
+        store.close()
+    return Paths(levels, bound)
 
 
 def path_lines(found: Paths, start, target) -> DataFrame:
-    """The path as one node per row in order, or one row that says there is none."""
+    """The path as one node per row in order, or one row that says there is none.
+
+    After a search that stopped at its bound that can be said of short paths only.
+    """
     row = found.path_to(target)
     if row.isEmpty():
+        # Fixed value: the text of the message.
         text = f"no path exists from node {start} to node {target}!"
+        if found.bound is not None:
+            text = f"no path of at most {found.bound} edges exists from node {start} to node {target}!"
         return row.sparkSession.range(1).select(F.lit(0).alias("step"), F.lit(text).alias("line"))
     steps = row.select(F.posexplode("path").alias("step", "line"))
     return steps.select("step", F.col("line").cast("string").alias("line")).orderBy("step")

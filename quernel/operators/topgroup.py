@@ -28,7 +28,7 @@ def top_rows(
     hot_rows: int = HOT_ROWS,
     limit: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """All rows that hold their group's largest value.
+    """All rows that hold their group's largest value; rows of a null group drop out.
 
     The maxima, one small row per group, are written first; if they are small
     enough to broadcast, the rows are filtered where they are read. Otherwise
@@ -63,11 +63,15 @@ def top_one(
 ) -> DataFrame:
     """One row per group: its largest value and, of the tied items, the smallest.
 
-    With ``floor`` a group that never exceeds it gives an empty item and the
-    floor itself.
+    One aggregate over one scan; rows of a group combine before the shuffle. A
+    group without values drops out. With ``floor`` a group that never exceeds
+    it gives an empty item and the floor itself.
     """
-    best = top_rows(df.select(group, value, item), group, value)
-    one = best.groupBy(group, value).agg(F.min(item).alias(item)).select(group, item, value)
+    # Of equal values the least item, null last, by one order: value down, item up.
+    place = F.struct((-F.col(value)).alias("_down"), F.col(item).isNull().alias("_none"), F.col(item))
+    known = df.where(F.col(value).isNotNull() & F.col(group).isNotNull())
+    best = known.groupBy(group).agg(F.min(place).alias("_best"), F.max(value).alias(value))
+    one = best.select(group, F.col("_best")[item].alias(item), value)
     if floor is None:
         return one
     below = F.col(value) <= floor
@@ -81,7 +85,8 @@ def top_one(
 def top_joined(df: DataFrame, group: str, value: str, item: str) -> DataFrame:
     """One row per group with its tied items in one string, ``a, b``.
 
-    Titles are made distinct first; only the distinct ties of a group meet.
+    Titles are made distinct first; only the distinct ties of a group meet, in
+    one row, as asked for: a group with more of them than a row holds fails.
     """
     ties = top_rows(df.select(group, value, item), group, value).distinct()
     names = F.array_join(F.array_sort(F.collect_list(item)), ", ")

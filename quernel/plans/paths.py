@@ -1,4 +1,4 @@
-"""Adjacency edges and bounded shortest paths on a graph derived from parts."""
+"""Adjacency edges and shortest paths on a graph derived from parts."""
 
 from __future__ import annotations
 
@@ -41,7 +41,7 @@ def shortest_paths(spark, folder):
 def shortest_path(spark, folder):
     """Path from the first node to the last part, one node per row."""
     last = table(spark, folder, "part").agg(F.max("p_partkey")).first()[0]
-    found = graph.search(_numbered(spark, folder), 0, target=last, max_hops=12)
+    found = graph.search(_numbered(spark, folder), 0, target=last)
     return graph.path_lines(found, 0, last)
 
 
@@ -59,29 +59,27 @@ edges AS (
   FROM part)
 """
 
-_WALKS = f"""
+# One row per node, level by level; of a node's shortest paths the smallest.
+_BEST = f"""
 WITH RECURSIVE {_EDGES},
-walks(node, path, hops) AS (
-  SELECT CAST(0 AS BIGINT), [CAST(0 AS BIGINT)], 0
+best(node, path) USING KEY (node) AS (
+  SELECT CAST(0 AS BIGINT), [CAST(0 AS BIGINT)]
   UNION
-  SELECT dest, list_append(path, dest), hops + 1
-  FROM walks JOIN edges ON node = source
-  WHERE hops < {{hops}} AND NOT list_contains(path, dest)),
-best AS (
-  SELECT node, min(struct_pack(h := hops, p := path)) AS least FROM walks GROUP BY node)
+  SELECT dest, min(list_append(path, dest)) FROM best JOIN edges ON node = source
+  WHERE NOT EXISTS (FROM recurring.best AS known WHERE known.node = dest) GROUP BY dest)
 """
 
 ORACLES = {
     "adjacency_edges": f"""
 WITH {_EDGES} SELECT CAST(source AS VARCHAR) AS source, CAST(dest AS VARCHAR) AS dest FROM edges
 """,
-    "shortest_hops": _WALKS.format(hops=6) + "SELECT node, least.h AS hops FROM best",
-    "shortest_paths": _WALKS.format(hops=6)
-    + "SELECT node, array_to_string(least.p, ',') AS path, least.h AS hops FROM best",
-    "shortest_path": _WALKS.format(hops=12)
+    "shortest_hops": _BEST + "SELECT node, CAST(len(path) - 1 AS INTEGER) AS hops FROM best",
+    "shortest_paths": _BEST
+    + "SELECT node, array_to_string(path, ',') AS path, CAST(len(path) - 1 AS INTEGER) AS hops FROM best",
+    "shortest_path": _BEST
     + """
-SELECT CAST(i - 1 AS INTEGER) AS step, CAST(least.p[i] AS VARCHAR) AS line
-FROM (SELECT least, unnest(range(1, len(least.p) + 1)) AS i
+SELECT CAST(i - 1 AS INTEGER) AS step, CAST(path[i] AS VARCHAR) AS line
+FROM (SELECT path, unnest(range(1, len(path) + 1)) AS i
       FROM best WHERE node = (SELECT max(p_partkey) FROM part))
 """,
 }

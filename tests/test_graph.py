@@ -36,12 +36,19 @@ def test_search_stops_at_the_target_and_at_the_limit(spark, edges):
     assert rows(graph.search(edges, 1, target=4).hops()) == [(1, 0), (2, 1), (3, 1), (4, 2)]
     assert rows(graph.search(edges, 1, target=1).hops()) == [(1, 0)]
     chain = spark.range(20).select(F.col("id").alias("source"), (F.col("id") + 1).alias("dest"))
-    found = graph.search(chain, 0)
+    found = graph.search(chain, 0, max_hops=6)
     assert max(r.hops for r in found.hops().collect()) == 6
-    assert lines(found, 0, 7) == ["no path exists from node 0 to node 7!"]
+    assert lines(found, 0, 7) == ["no path of at most 6 edges exists from node 0 to node 7!"]
     assert lines(found, 0, 6)[-1] == "6"
 
 
+def test_search_without_a_bound_goes_on_to_the_end(spark):
+    chain = spark.range(20).select(F.col("id").alias("source"), (F.col("id") + 1).alias("dest"))
+    found = graph.search(chain, 0, target=20)
+    assert lines(found, 0, 20) == [str(i) for i in range(21)]
+    assert lines(graph.search(chain, 0), 0, 99) == ["no path exists from node 0 to node 99!"]
+
+
 def test_text_nodes(spark):
     edges = spark.createDataFrame([("a", "b"), ("b", "c"), ("b", "c")], "source string, dest string")
     assert lines(graph.search(edges, "a", "c"), "a", "c") == ["a", "b", "c"]
