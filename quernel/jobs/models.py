@@ -20,10 +20,11 @@ def train_colours(
     With ``grid`` the scored slices of LAB space are written below that path.
     """
     rows = sources.colour_rows(spark, inputs)
+    labels = rows.select("word").distinct().count()
     train, validation = random_split(rows, seed=seed)
     scores = []
     for space in ("rgb", "lab"):
-        fitted = colours.train(train, validation, space=space, kind=kind)
+        fitted = colours.train(train, validation, space=space, kind=kind, labels=labels)
         scores.append((space, fitted.accuracy))
         if grid:
             cells = colours.scored_grid(fitted.model, spark)

@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 from quernel.functions.colour import COLOUR_RGB, lab_grid, lab_statement
 from quernel.session import cached
 
-HIDDEN = 30
+# The hidden layer and the share of the absolute penalty.
+HIDDEN, ABSOLUTE = 30, 0.5
 
 
 @dataclass
@@ -31,13 +32,13 @@ class Fitted:
 
 def classifier(kind: str, inputs: int, labels: int, seed: int = 1, max_iter: int = 100):
     """``perceptron`` with one hidden layer, or ``logistic`` with an elastic net."""
-    columns = {"featuresCol": "features", "labelCol": "word_indexed"}
+    columns = {"featuresCol": "features", "labelCol": "label_index"}
     if kind == "perceptron":
         return MultilayerPerceptronClassifier(
             layers=[inputs, HIDDEN, labels], seed=seed, maxIter=max_iter, **columns
         )
     if kind == "logistic":
-        return LogisticRegression(elasticNetParam=0.5, maxIter=max_iter, **columns)
+        return LogisticRegression(elasticNetParam=ABSOLUTE, maxIter=max_iter, **columns)
     raise ValueError(f"unknown classifier {kind!r}")
 
 
@@ -64,7 +65,7 @@ def pipeline(
     elif space != "rgb":
         raise ValueError(f"unknown colour space {space!r}")
     stages.append(VectorAssembler(inputCols=columns, outputCol="features"))
-    stages.append(StringIndexer(inputCol=label, outputCol="word_indexed", handleInvalid=unseen))
+    stages.append(StringIndexer(inputCol=label, outputCol="label_index", handleInvalid=unseen))
     outputs = labels + (unseen == "keep")
     stages.append(classifier(kind, len(columns), outputs, **settings))
     return Pipeline(stages=stages)
@@ -72,7 +73,7 @@ def pipeline(
 
 def accuracy(predictions: DataFrame) -> float:
     evaluator = MulticlassClassificationEvaluator(
-        predictionCol="prediction", labelCol="word_indexed", metricName="accuracy"
+        predictionCol="prediction", labelCol="label_index", metricName="accuracy"
     )
     return evaluator.evaluate(predictions)
 

@@ -19,12 +19,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quernel.llm.common import ascii_lower, strip, whole
+from quernel.operators.joins import measured_bytes
 from quernel.session import materialize
 
 #: Fixed values of the contract: code points of a key, and documents that hold it.
 LEAST_LENGTH, LEAST_DOCS = 20, 3
 HOT = 0.001
 
+#: Measured bytes of all bitmaps up to which they are broadcast; larger ones meet the texts in a shuffle.
+BROADCAST_BYTES = 32 << 20
+
 _NO_ID = -(2**63)
 
 
@@ -102,7 +106,12 @@ def _without(lines: Column, zeros: Column) -> Column:
 
 
 def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
-    """(doc_id, n_lines, n_dropped, kept), a row per row of ``docs``; ``kept`` is the text that stays."""
+    """(doc_id, n_lines, n_dropped, kept), a row per row of ``docs``; ``kept`` is the text that stays.
+
+    Bitmaps (a written table) of a measured size are sent to the texts, so that these stay where they are.
+    """
+    if measured_bytes(bitmaps) <= BROADCAST_BYTES:
+        bitmaps = F.broadcast(bitmaps)
     text = whole("text")
     rows = docs.select(*_row_keys(docs), text.alias("text"))
     n_lines = F.length("text") - F.length(F.replace(F.col("text"), F.lit("\n"), F.lit(""))) + 1

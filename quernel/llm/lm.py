@@ -39,7 +39,7 @@ FOLDS, HELD_OUT = 7, 2
 #: Tokens of a range of pairs, words of a file of hashes, and tokens counted at once in a task.
 RANGE_TOKENS = 3_000_000
 SHARD_WORDS = 1 << 20
-BATCH_TOKENS = 2_000_000
+BATCH_TOKENS = 1_000_000
 
 _END = int(hashing.mix(np.array([0xE0D], np.uint64))[0] >> np.uint64(1))
 _BITS = np.uint64(32)

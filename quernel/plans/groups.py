@@ -122,7 +122,7 @@ def partition_partials(spark, folder):
 def sorted_partitions(spark, folder):
     lineitem = table(spark, folder, "lineitem")
     totals = lineitem.groupBy("l_partkey").agg(F.sum("l_quantity").alias("quantity"))
-    parts = aggregate.sorted_partitions(totals, ["l_partkey"], 3)
+    parts = aggregate.sorted_partitions(totals, ["l_partkey"], int(spark.conf.get("spark.sql.shuffle.partitions")))
     return parts
 
 

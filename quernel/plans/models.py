@@ -1,4 +1,4 @@
-"""Fitted models on the given tables; scores are checked against bounds in tests."""
+"""Fitted models on the given tables, with the operators' own settings."""
 
 from __future__ import annotations
 
@@ -31,7 +31,7 @@ def _train(spark, folder, space, kind="logistic"):
     rows = labelled_colours(spark, folder)
     train, validation = hash_split(rows, ["p_partkey"])
     labels = rows.select("word").distinct().count()
-    fitted = colours.train(train, validation, space=space, kind=kind, labels=labels, unseen="keep", max_iter=40)
+    fitted = colours.train(train, validation, space=space, kind=kind, labels=labels, unseen="keep")
     return fitted, validation
 
 
@@ -47,15 +47,17 @@ def _classified(space, kind):
 
 
 def embedding_classifier(spark, folder):
-    """The same pipeline on three components of the embeddings."""
-    rows = table(spark, folder, "embeddings").select(
+    """The same pipeline on all components of the embeddings."""
+    vectors = table(spark, folder, "embeddings")
+    names = [f"c{i}" for i in range(vectors.agg(F.max(F.size("embedding"))).first()[0] or 0)]
+    rows = vectors.select(
         "vec_id",
-        *[F.get("embedding", F.lit(i)).alias(c) for i, c in enumerate("RGB")],
+        *[F.get("embedding", F.lit(i)).alias(c) for i, c in enumerate(names)],
         F.col("label").cast("string").alias("word"),
     )
     train, validation = hash_split(rows, ["vec_id"])
     labels = rows.select("word").distinct().count()
-    fitted = colours.train(train, validation, kind="perceptron", labels=labels, unseen="keep", max_iter=40)
+    fitted = colours.train(train, validation, kind="perceptron", labels=labels, features=names, unseen="keep")
     scored = colours.with_words(fitted.model, fitted.model.transform(validation))
     return scored.select("vec_id", "word", "predicted_word")
 
@@ -63,7 +65,7 @@ def embedding_classifier(spark, folder):
 def scored_grid(spark, folder):
     """The slice of LAB space is coloured by a model fitted on the parts."""
     fitted, _ = _train(spark, folder, "lab")
-    return colours.scored_grid(fitted.model, spark, resolution=64)
+    return colours.scored_grid(fitted.model, spark)
 
 
 def tmax_series(spark, folder):
@@ -95,7 +97,7 @@ def next_day_features(spark, folder):
 
 def _saved_model(spark, folder, **settings):
     series = tmax_series(spark, folder)
-    model, scores = temperature.train(series, max_iter=5, max_depth=4, **settings)
+    model, scores = temperature.train(series, **settings)
     path = scratch_path(spark, "tmax-model")
     temperature.save(model, path)
     return series, temperature.load(path), scores
