@@ -4,6 +4,11 @@ Lines and paragraphs are normalised (A-Z in lower case, everything but letters
 and digits a blank) and compared with every template that can reach the bound:
 with a and b bigrams the coefficient is at most 2 * min(a, b) / (a + b), so
 templates, sorted by size, are cut to a range by bisection, mostly an empty one.
+
+A notice inside other text, or over several paragraphs, is neither: a window of
+each template's size also slides over the words of the whole text. A text is left
+out only if it has none of the template's anchors, rare bigrams so many that no
+match can lack them all, or altogether too few of its bigrams.
 """
 
 from __future__ import annotations
@@ -11,6 +16,7 @@ from __future__ import annotations
 import re
 from bisect import bisect_left, bisect_right
 from collections import Counter
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -57,6 +63,16 @@ class Matcher:
         self.templates = sorted(made, key=lambda x: x[:2])
         self.sizes = [n for n, _, _ in self.templates]
         self.bound, self.ratio = bound, bound / (2 - bound)
+        #: Bigram to the templates that it is an anchor of.
+        self.anchors: dict[tuple[bytes, bytes], list[int]] = {}
+        for k, (size, _, template) in enumerate(self.templates):
+            # A match shares at least size * ratio bigrams, so it lacks at most the rest. Long words are rare.
+            lacking = size - size * self.ratio + 1e-6
+            for pair in sorted(template, key=lambda x: (-len(x[0]) - len(x[1]), x)):
+                self.anchors.setdefault(pair, []).append(k)
+                lacking -= template[pair]
+                if lacking < 0:
+                    break
 
     def compare(self, text: bytes):
         """(license, dice) of every template that reaches the bound."""
@@ -84,6 +100,52 @@ class Matcher:
                 yield text.count(b"\n", 0, at), part.count(b"\n") + 1, part
             at = match.end() if match else at
 
+    def matches(self, text: bytes):
+        """(license, dice, first line, number of lines) of lines and paragraphs, then of windows."""
+        found = [(name, dice, i, n) for i, n, part in self.segments(text) for name, dice in self.compare(part)]
+        return [*found, *self.windows(text, found)]
+
+    def windows(self, text: bytes, found=()):
+        """(license, dice, first line, number of lines) of the best windows of the whole text, for each template.
+
+        A window has the template's number of bigrams, or all of a shorter text. The best comes first, of equal
+        ones the first in the text, then the best of those without a word in common with it, and so on. Where
+        ``found``, matches of the same form, has the license already, none is given.
+        """
+        words = text.translate(_TABLE).split()
+        if self.anchors.keys().isdisjoint(zip(words, words[1:])):
+            return
+        pairs = list(zip(words, words[1:]))
+        have, n = Counter(pairs), len(pairs)
+        starts = [0, *accumulate(len(line.translate(_TABLE).split()) for line in text.split(b"\n"))]
+        for k in sorted({k for pair in have.keys() & self.anchors.keys() for k in self.anchors[pair]}):
+            size, name, template = self.templates[k]
+            if 2 * (have & template).total() < self.bound * (min(n, size) + size) - 1e-6:
+                continue
+            taken = [(starts[i], starts[i + m]) for license, _, i, m in found if license == name]
+            best = sorted((-dice, at) for at, dice in self.slide(pairs, size, template))
+            for dice, at in best:
+                stop = at + min(n, size) + 1
+                if all(stop <= a or b <= at for a, b in taken):
+                    taken.append((at, stop))
+                    first = bisect_right(starts, at) - 1
+                    yield name, -dice, first, bisect_left(starts, stop) - first
+
+    def slide(self, pairs, size: int, template: Counter):
+        """(place, dice) of the windows that reach the bound."""
+        width = min(len(pairs), size)
+        seen, shared = Counter(), 0
+        for i, pair in enumerate(pairs):
+            want = template.get(pair, 0)
+            if want:
+                seen[pair] += 1
+                shared += seen[pair] <= want
+            if i >= width and (want := template.get(old := pairs[i - width], 0)):
+                shared -= seen[old] <= want
+                seen[old] -= 1
+            if i >= width - 1 and (dice := 2 * shared / (width + size)) >= self.bound:
+                yield i - width + 1, dice
+
 
 _FOUND = T.StructType(
     [T.StructField("license", T.StringType()), T.StructField("dice", T.DoubleType()),
@@ -97,7 +159,8 @@ _ARROW = pa.list_(
 def scan(docs: DataFrame, templates=TEMPLATES, bound: float = BOUND) -> DataFrame:
     """(doc_id, matches), a row per document; a match has license, dice, first_line and n_lines.
 
-    A null or blank text has none. Ties and repeated lines are all reported. Rows with the same id are
+    Windows of the whole text come after lines and paragraphs, and only where these do not have the same
+    license already. A null or blank text has none. Ties and repeated lines are all reported. Rows with the same id are
     scanned one by one. An empty table gives an empty table.
     """
 
@@ -107,8 +170,7 @@ def scan(docs: DataFrame, templates=TEMPLATES, bound: float = BOUND) -> DataFram
             found = [
                 [
                     {"license": name, "dice": dice, "first_line": first, "n_lines": n}
-                    for first, n, part in matcher.segments(text)
-                    for name, dice in matcher.compare(part)
+                    for name, dice, first, n in matcher.matches(text)
                 ]
                 for text in batch.column(1).to_pylist()
             ]

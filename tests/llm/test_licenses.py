@@ -1,3 +1,5 @@
+from random import Random
+
 from quernel.llm import licenses
 
 
@@ -28,3 +30,47 @@ def test_edges(spark):
     texts = [None, "", "\n\n", "mit", "word " * 50000, "Licensed under CC BY-NC 4.0.\n" * 2]
     assert [len(m) for m in matches(spark, texts)] == [0, 0, 0, 0, 0, 2]
     assert matches(spark, texts[:0] or [None])[0] == []
+
+
+BSD = """// Copyright 2020 Some Authors
+//
+// Redistribution and use in source and binary forms, with or without
+// modification, are permitted provided that the following conditions are
+// met:
+//
+//    * Redistributions of source code must retain the above copyright
+// notice, this list of conditions and the following disclaimer.
+int main() { return 0; }"""
+
+
+def test_notices_inside_other_text(spark):
+    words = licenses.TEMPLATES["GPL-3.0"].split()
+    code = ["int first, second, third; // with some words of its own"] * 5
+    header = "\n".join([*code, "//", *("// " + " ".join(words[i : i + 9]) for i in range(0, 45, 9)), "//", *code])
+    inline = "Some words before. " + licenses.TEMPLATES["BSD-3-Clause"] + " And then many words after it. " * 3
+    got = matches(spark, [header, BSD, inline, header + "\n\n" + header])
+    assert [m for m in got[0] if m[0] == "GPL-3.0"] == [("GPL-3.0", 1.0, 6, 5)]
+    assert got[1] == [("BSD-conditions", 1.0, 2, 3)]
+    assert got[2] == [("BSD-3-Clause", 1.0, 0, 1)]
+    assert [m[2] for m in got[3] if m[0] == "GPL-3.0"] == [6, 24]
+
+
+def test_windows_against_every_window():
+    """No anchor or count leaves out a window that reaches the bound."""
+    from collections import Counter
+
+    matcher = licenses.Matcher(licenses.TEMPLATES, 0.8)
+    random = Random(1)
+    for size, name, template in matcher.templates[:12]:
+        words = licenses.TEMPLATES[name].encode().translate(licenses._TABLE).split()
+        for share in (0.0, 0.05, 0.1, 0.2):
+            mine = [w if random.random() >= share else b"other" for w in words[: random.randint(len(words) * 2 // 3, len(words))]]
+            text = b" ".join([b"before"] * random.randint(0, 9) + mine + [b"after"] * random.randint(0, 9))
+            pairs = licenses.bigrams(text)
+            width = min(size, len(pairs))
+            every = [
+                2 * (Counter(pairs[i : i + width]) & template).total() / (width + size)
+                for i in range(len(pairs) - width + 1)
+            ]
+            best = max((d for n, d, _, _ in matcher.windows(text) if n == name), default=None)
+            assert best == (max(every) if max(every) >= 0.8 else None)
