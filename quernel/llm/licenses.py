@@ -16,6 +16,7 @@ from __future__ import annotations
 import re
 from bisect import bisect_left, bisect_right
 from collections import Counter
+from importlib.resources import files
 from itertools import accumulate
 
 import pyarrow as pa
@@ -26,7 +27,7 @@ from quernel.llm.common import whole
 
 BOUND = 0.8
 
-# The notices that the licenses themselves ask for, or their first lines.
+# The notices that the licenses themselves ask for, or their first lines, and complete grants.
 TEMPLATES = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
     "Apache-2.0-notice": 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0',
@@ -42,8 +43,20 @@ TEMPLATES = {
     "GPL-3.0-work": "This work is licensed under the GNU General Public License, version 3.",
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
     "CC0-1.0": "To the extent possible under law, the author has waived all copyright and related rights to this work.",
+    "MIT-grant": 'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:',
+    "ISC-grant": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    "LGPL-3.0": "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "LGPL-2.1": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
+    "AGPL-3.0": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "EPL-2.0": "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/",
+    "Unlicense": "This is free and unencumbered software released into the public domain.",
+    "MIT-title": "The MIT License (MIT)",
 }
 
+#: The full texts, each in a file of its own. They have blank lines inside, so mostly windows find them.
+TEXTS = "Apache-2.0 BSD-2-Clause BSD-3-Clause CC-BY-4.0 CC-BY-SA-4.0 CC0-1.0 EPL-1.0 GPL-1.0 GPL-2.0 GPL-3.0 ISC LGPL-2.0 LGPL-2.1 LGPL-3.0 MIT MPL-1.1 MPL-2.0 Unlicense".split()
+FULL_TEXTS = {f"{name}-text": (files(__package__) / "license_texts" / f"{name}.txt").read_text("utf-8") for name in TEXTS}
+
 #: A paragraph ends at a blank line.
 PARAGRAPH = rb"\n[\x20\x09-\x0D]*\n"
 
@@ -63,6 +76,7 @@ class Matcher:
         self.templates = sorted(made, key=lambda x: x[:2])
         self.sizes = [n for n, _, _ in self.templates]
         self.bound, self.ratio = bound, bound / (2 - bound)
+        self.known = {pair for _, _, template in self.templates for pair in template}
         #: Bigram to the templates that it is an anchor of.
         self.anchors: dict[tuple[bytes, bytes], list[int]] = {}
         for k, (size, _, template) in enumerate(self.templates):
@@ -83,7 +97,10 @@ class Matcher:
         last = bisect_right(self.sizes, n / self.ratio + 1e-6)
         if first >= last or not n:
             return
-        have = Counter(pairs)
+        known = [pair for pair in pairs if pair in self.known]
+        if 2 * len(known) < self.bound * (n + self.sizes[first]) - 1e-6:
+            return
+        have = Counter(known)
         for size, name, template in self.templates[first:last]:
             dice = 2 * (have & template).total() / (n + size)
             if dice >= self.bound:
@@ -116,11 +133,16 @@ class Matcher:
         if self.anchors.keys().isdisjoint(zip(words, words[1:])):
             return
         pairs = list(zip(words, words[1:]))
-        have, n = Counter(pairs), len(pairs)
+        known, n = [pair for pair in pairs if pair in self.known], len(pairs)
+        least = [self.bound * (min(n, size) + size) / 2 - 1e-6 for size in self.sizes]
+        near = {k for pair in self.anchors.keys() & set(known) for k in self.anchors[pair] if len(known) >= least[k]}
+        if not near:
+            return
+        have = Counter(known)
         starts = [0, *accumulate(len(line.translate(_TABLE).split()) for line in text.split(b"\n"))]
-        for k in sorted({k for pair in have.keys() & self.anchors.keys() for k in self.anchors[pair]}):
+        for k in sorted(near):
             size, name, template = self.templates[k]
-            if 2 * (have & template).total() < self.bound * (min(n, size) + size) - 1e-6:
+            if (have & template).total() < least[k]:
                 continue
             taken = [(starts[i], starts[i + m]) for license, _, i, m in found if license == name]
             best = sorted((-dice, at) for at, dice in self.slide(pairs, size, template))
@@ -156,7 +178,7 @@ _ARROW = pa.list_(
 )
 
 
-def scan(docs: DataFrame, templates=TEMPLATES, bound: float = BOUND) -> DataFrame:
+def scan(docs: DataFrame, templates=TEMPLATES | FULL_TEXTS, bound: float = BOUND) -> DataFrame:
     """(doc_id, matches), a row per document; a match has license, dice, first_line and n_lines.
 
     Windows of the whole text come after lines and paragraphs, and only where these do not have the same

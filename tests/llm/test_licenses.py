@@ -74,3 +74,19 @@ def test_windows_against_every_window():
             ]
             best = max((d for n, d, _, _ in matcher.windows(text) if n == name), default=None)
             assert best == (max(every) if max(every) >= 0.8 else None)
+
+
+def test_full_texts():
+    matcher = licenses.Matcher(licenses.TEMPLATES | licenses.FULL_TEXTS, licenses.BOUND)
+    for name, text in licenses.FULL_TEXTS.items():
+        lines = text.splitlines()
+        for inside in (lines, [f" * {line}" for line in lines]):
+            found = matcher.matches("\n".join(["Words before.", "", *inside, "", "Words after."]).encode())
+            assert any(license == name and dice >= 0.8 for license, dice, _, _ in found), name
+    wrapped = matcher.matches(b"\n".join(licenses.TEMPLATES["MIT-grant"].encode().split(b",")))
+    assert ("MIT-grant", 1.0) in [m[:2] for m in wrapped]
+
+
+def test_full_text_is_scanned(spark):
+    found = matches(spark, [licenses.FULL_TEXTS["MIT-text"]])[0]
+    assert {"MIT-text", "MIT-grant"} <= {m[0] for m in found}
