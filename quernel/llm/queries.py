@@ -4,7 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quernel.llm import decontaminate, licenses, line_dedup, lm, mixing, near_dup, quality, secret_scan, sharding, token_output
+from quernel.llm import (
+    decontaminate,
+    licenses,
+    line_dedup,
+    lm,
+    merkle,
+    mixing,
+    near_dup,
+    quality,
+    secret_scan,
+    sharding,
+    token_output,
+)
 from quernel.llm.common import documents
 from quernel.sources import load_table
 
@@ -71,6 +83,17 @@ def op10_lm_scoring(spark, folder):
     return lm.score(documents(spark, folder))
 
 
+def op13_merkle_manifest(spark, folder):
+    docs = documents(spark, folder)
+    hit = F.crc32(docs["doc_id"].cast("string")) % 7 == 0
+    tampered = merkle.leaf_of(docs, changed={"n_chars": F.when(hit, docs["n_chars"] + 1).otherwise(docs["n_chars"])})
+    rows = merkle.manifest(docs, extra={"tampered": tampered})
+    return merkle.verified(rows, F.col("tampered")).select(
+        "doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("steps")).alias("proof_sha256"), "folded_root",
+        "verified",
+    )
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_token_output": op2_token_output,
@@ -82,6 +105,7 @@ QUERIES = {
     "op8_near_duplicates": op8_near_duplicates,
     "op9_secret_scan": op9_secret_scan,
     "op10_lm_scoring": op10_lm_scoring,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 _SPACE = r"[\x20\x09-\x0D]"
@@ -269,6 +293,62 @@ SELECT d.doc_id, coalesce(n, 0) AS n_matches, coalesce(names, '') AS licenses, r
 FROM documents AS d LEFT JOIN per_doc USING (doc_id)
 """
 
+# CRC-32 of a short text: a table of 256 words, then a byte at a time.
+_CRC_TABLE = """list_transform(range(256), lambda i: list_reduce(range(8), lambda c, k:
+    CASE WHEN (c & 1) = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i))"""
+_MERKLE = f"""
+WITH RECURSIVE crc_table AS (SELECT {_CRC_TABLE} AS t),
+sums AS (
+  SELECT doc_id, xor(list_reduce(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: ascii(x)::BIGINT),
+         lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295::BIGINT), 4294967295) AS crc
+  FROM (SELECT DISTINCT doc_id FROM documents), crc_table),
+fields AS (
+  SELECT d.doc_id, lang, n_chars, coalesce(crc % 7 = 0, false) AS hit,
+    coalesce(strlen(CAST(d.doc_id AS VARCHAR)) || ':' || d.doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+      || coalesce(strlen(lang) || ':' || lang, '-') AS head,
+    coalesce(strlen(text) || ':' || text, '-') AS tail
+  FROM documents AS d LEFT JOIN sums USING (doc_id)),
+leaves AS (
+  SELECT doc_id, lang, sha256(head || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') || tail) AS leaf,
+    sha256(head || coalesce(strlen(CAST(n_chars + hit::INT AS VARCHAR)) || ':' || (n_chars + hit::INT), '-') || tail) AS other
+  FROM fields),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place FROM leaves),
+levels AS (
+  SELECT lang, 0 AS level, list(leaf ORDER BY place) AS nodes FROM placed GROUP BY lang
+  UNION ALL
+  SELECT lang, level + 1, list_transform(range(0, len(nodes), 2), lambda i: sha256(nodes[i + 1] || coalesce(nodes[i + 2], '')))
+  FROM levels WHERE len(nodes) > 1),
+trees AS (
+  SELECT lang, nodes[1] AS subroot, level AS height,
+    row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree FROM levels WHERE len(nodes) = 1),
+tops AS (
+  SELECT 0 AS level, list(subroot ORDER BY tree) AS nodes FROM trees HAVING count(*) > 0
+  UNION ALL
+  SELECT level + 1, list_transform(range(0, len(nodes), 2), lambda i: sha256(nodes[i + 1] || coalesce(nodes[i + 2], '')))
+  FROM tops WHERE len(nodes) > 1),
+steps AS (
+  SELECT p.doc_id, p.leaf, p.other, p.lang, p.place, l.level, p.place >> l.level AS i, l.nodes
+  FROM placed AS p JOIN levels AS l ON l.lang IS NOT DISTINCT FROM p.lang AND len(l.nodes) > 1
+  UNION ALL
+  SELECT p.doc_id, p.leaf, p.other, p.lang, p.place, t.height + o.level, t.tree >> o.level, o.nodes
+  FROM placed AS p JOIN trees AS t ON t.lang IS NOT DISTINCT FROM p.lang JOIN tops AS o ON len(o.nodes) > 1),
+sides AS (
+  SELECT lang, place, level, CASE WHEN i % 2 = 1 THEN nodes[i] ELSE '' END AS a,
+    CASE WHEN i % 2 = 0 THEN coalesce(nodes[i + 2], '') ELSE '' END AS b FROM steps),
+proofs AS (SELECT lang, place, list({{'a': a, 'b': b}} ORDER BY level) AS s FROM sides GROUP BY ALL),
+folded AS (
+  SELECT p.lang, p.place, p.doc_id, p.leaf, coalesce(s, []) AS s, 0 AS k, p.other AS node
+  FROM placed AS p LEFT JOIN proofs AS q ON q.lang IS NOT DISTINCT FROM p.lang AND q.place = p.place
+  UNION ALL
+  SELECT lang, place, doc_id, leaf, s, k + 1, sha256(s[k + 1].a || node || s[k + 1].b) FROM folded WHERE k < len(s))
+SELECT f.doc_id, f.leaf, t.subroot, r.nodes[1] AS root,
+  sha256(array_to_string(list_transform(s, lambda x: x.a || x.b), '')) AS proof_sha256, node AS folded_root,
+  node = r.nodes[1] AS verified
+FROM folded AS f JOIN trees AS t ON t.lang IS NOT DISTINCT FROM f.lang JOIN tops AS r ON len(r.nodes) = 1
+WHERE k = len(s)
+"""
+
 # The shuffled order is a hash that SQL does not have; all but ``taken`` is checked by SQL in the tests.
 
 ORACLES = {
@@ -277,4 +357,5 @@ ORACLES = {
     "op5_decontamination": _LEAKS,
     "op6_license_scan": _LICENSES,
     "op9_secret_scan": _SECRETS,
+    "op13_merkle_manifest": _MERKLE,
 }
