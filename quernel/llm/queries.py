@@ -13,6 +13,7 @@ from quernel.llm import (
     mixing,
     near_dup,
     quality,
+    search,
     secret_scan,
     sharding,
     token_output,
@@ -83,6 +84,10 @@ def op10_lm_scoring(spark, folder):
     return lm.score(documents(spark, folder))
 
 
+def op11_lexical_search(spark, folder):
+    return search.search(documents(spark, folder), load_table(spark, "benchmark", folder=folder))
+
+
 def op13_merkle_manifest(spark, folder):
     docs = documents(spark, folder)
     hit = F.crc32(docs["doc_id"].cast("string")) % 7 == 0
@@ -105,6 +110,7 @@ QUERIES = {
     "op8_near_duplicates": op8_near_duplicates,
     "op9_secret_scan": op9_secret_scan,
     "op10_lm_scoring": op10_lm_scoring,
+    "op11_lexical_search": op11_lexical_search,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 
@@ -293,6 +299,31 @@ SELECT d.doc_id, coalesce(n, 0) AS n_matches, coalesce(names, '') AS licenses, r
 FROM documents AS d LEFT JOIN per_doc USING (doc_id)
 """
 
+_SEARCH = r"""
+WITH words AS (
+  SELECT doc_id, row_number() OVER () AS d, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM documents),
+docs AS (SELECT doc_id, d, t, len(t) AS n FROM words WHERE len(t) > 0),
+corpus AS (SELECT count(*) AS nn, sum(n) AS ll FROM docs),
+postings AS (SELECT doc_id, d, n, term, count(*) AS tf FROM (SELECT doc_id, d, n, unnest(t) AS term FROM docs) GROUP BY ALL),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * nn + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM postings, corpus GROUP BY term, nn),
+asked AS (
+  SELECT item_id, i, term, count(*) AS times
+  FROM (SELECT item_id, i, unnest(t) AS term FROM (
+    SELECT item_id, row_number() OVER () AS i, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM benchmark))
+  GROUP BY ALL),
+scores AS (
+  SELECT item_id, i, doc_id, d, CAST(sum(times * w * ((1000000000 * tf) //
+         (1000 * tf + 8 * (100 - 75 + (75 * n * nn) // CAST(ll AS BIGINT))))) AS BIGINT) AS score
+  FROM asked JOIN postings USING (term) JOIN weights USING (term), corpus GROUP BY ALL)
+SELECT item_id, CAST(r AS INT) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id, d) AS r FROM scores WHERE score > 0)
+WHERE r <= 10
+"""
+
 # CRC-32 of a short text: a table of 256 words, then a byte at a time.
 _CRC_TABLE = """list_transform(range(256), lambda i: list_reduce(range(8), lambda c, k:
     CASE WHEN (c & 1) = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i))"""
@@ -357,5 +388,6 @@ ORACLES = {
     "op5_decontamination": _LEAKS,
     "op6_license_scan": _LICENSES,
     "op9_secret_scan": _SECRETS,
+    "op11_lexical_search": _SEARCH,
     "op13_merkle_manifest": _MERKLE,
 }
