@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from quernel.llm import (
     decontaminate,
+    html_text,
     licenses,
     line_dedup,
     lm,
@@ -88,6 +89,11 @@ def op11_lexical_search(spark, folder):
     return search.search(documents(spark, folder), load_table(spark, "benchmark", folder=folder))
 
 
+def op12_html_extraction(spark, folder):
+    pages = html_text.extract(load_table(spark, "pages", folder=folder))
+    return pages.select("page_id", "url", "text", "n_chars")
+
+
 def op13_merkle_manifest(spark, folder):
     docs = documents(spark, folder)
     hit = F.crc32(docs["doc_id"].cast("string")) % 7 == 0
@@ -111,6 +117,7 @@ QUERIES = {
     "op9_secret_scan": op9_secret_scan,
     "op10_lm_scoring": op10_lm_scoring,
     "op11_lexical_search": op11_lexical_search,
+    "op12_html_extraction": op12_html_extraction,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 
