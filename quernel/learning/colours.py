@@ -6,7 +6,6 @@ from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import (
     IndexToString,
     SQLTransformer,
@@ -14,10 +13,11 @@ from pyspark.ml.feature import (
     StringIndexerModel,
     VectorAssembler,
 )
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quernel.functions.colour import COLOUR_RGB, lab_grid, lab_statement
+from quernel.functions.colour import COLOUR_RGB, lab_grid, lab_statement, rgb_to_lab
+from quernel.learning import evaluate, layers
 from quernel.session import cached
 
 # The hidden layer and the share of the absolute penalty.
@@ -30,15 +30,19 @@ class Fitted:
     accuracy: float
 
 
-def classifier(kind: str, inputs: int, labels: int, seed: int = 1, max_iter: int = 100):
-    """``perceptron`` with one hidden layer, or ``logistic`` with an elastic net."""
+def classifier(
+    kind: str, inputs: int, labels: int, seed: int = 1, max_iter: int = 100, penalty: float = 0.0, tolerance: float = 1e-6
+):
+    """``perceptron`` with one hidden layer, or ``logistic`` with an elastic net of weight ``penalty``."""
     columns = {"featuresCol": "features", "labelCol": "label_index"}
     if kind == "perceptron":
         return MultilayerPerceptronClassifier(
-            layers=[inputs, HIDDEN, labels], seed=seed, maxIter=max_iter, **columns
+            layers=[inputs, HIDDEN, labels], seed=seed, maxIter=max_iter, tol=tolerance, **columns
         )
     if kind == "logistic":
-        return LogisticRegression(elasticNetParam=ABSOLUTE, maxIter=max_iter, **columns)
+        return LogisticRegression(
+            elasticNetParam=ABSOLUTE, regParam=penalty, maxIter=max_iter, tol=tolerance, **columns
+        )
     raise ValueError(f"unknown classifier {kind!r}")
 
 
@@ -49,12 +53,13 @@ def pipeline(
     features=("R", "G", "B"),
     label: str = "word",
     unseen: str = "error",
+    width: int | None = None,
     **settings,
 ) -> Pipeline:
     """Channels, or LAB made from them by a SQL stage, then label index and classifier.
 
     A label met only after training is an error; with ``unseen="keep"`` it is
-    one more class.
+    one more class. ``width`` is the number of inputs where a feature is a vector.
     """
     stages = []
     columns = list(features)
@@ -67,15 +72,12 @@ def pipeline(
     stages.append(VectorAssembler(inputCols=columns, outputCol="features"))
     stages.append(StringIndexer(inputCol=label, outputCol="label_index", handleInvalid=unseen))
     outputs = labels + (unseen == "keep")
-    stages.append(classifier(kind, len(columns), outputs, **settings))
+    stages.append(classifier(kind, width or len(columns), outputs, **settings))
     return Pipeline(stages=stages)
 
 
 def accuracy(predictions: DataFrame) -> float:
-    evaluator = MulticlassClassificationEvaluator(
-        predictionCol="prediction", labelCol="label_index", metricName="accuracy"
-    )
-    return evaluator.evaluate(predictions)
+    return evaluate.accuracy(predictions, "label_index")
 
 
 def train(rows: DataFrame, validation: DataFrame, **settings) -> Fitted:
@@ -99,12 +101,31 @@ def with_words(model: PipelineModel, predictions: DataFrame, out: str = "predict
     return IndexToString(inputCol="prediction", outputCol=out, labels=labels).transform(predictions)
 
 
+def inputs_of(df: DataFrame, space: str = "rgb", features=("R", "G", "B")) -> tuple[DataFrame, list[str]]:
+    """``df`` with the columns the classifier sees, and their names."""
+    if space == "lab":
+        return rgb_to_lab(df, *features), ["labL", "labA", "labB"]
+    return df, list(features)
+
+
+def sql_index(model: PipelineModel, x: Column) -> Column:
+    """The class that the fitted weights give an array of inputs, worked out in SQL expressions."""
+    fitted = model.stages[-1]
+    scores = layers.linear_scores if hasattr(fitted, "coefficientMatrix") else layers.perceptron_scores
+    return layers.arg_max(scores(fitted, x))
+
+
 def scored_grid(
     model: PipelineModel, spark, lum: float = 70, resolution: int = 256, label: str = "word"
 ) -> DataFrame:
     """The model's word, and that word's display colour, for each cell of a LAB slice."""
-    grid = lab_grid(spark, lum, resolution).select("row", "column", "R", "G", "B")
-    some_label = grid.withColumn(label, F.lit(words_of(model)[0]))
-    # A SQL stage keeps only the channels and the label, so cells go by channel.
-    scored = with_words(model, model.transform(some_label))
-    return scored.select("R", "G", "B", "prediction", "predicted_word")
+    grid = lab_grid(spark, lum, resolution)
+    # A SQL stage keeps only the channels and the label; the label, which scoring does not need, carries the cell.
+    scored = grid.select("R", "G", "B", F.concat_ws(" ", "row", "column").alias(label))
+    for stage in model.stages:
+        if not isinstance(stage, StringIndexerModel):
+            scored = stage.transform(scored)
+    cell = F.split(label, " ")
+    return with_words(model, scored).select(
+        cell[0].cast("int").alias("row"), cell[1].cast("int").alias("column"), "R", "G", "B", "prediction", "predicted_word"
+    )

@@ -5,12 +5,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
 
-from quernel.learning.split import hash_split
+from quernel.learning import evaluate, trees
+from quernel.learning.split import exact_split
 from quernel.session import cached
 
 PLACE = ("latitude", "longitude", "elevation")
@@ -41,14 +41,9 @@ def feature_names(yesterday: bool = True) -> list[str]:
 
 
 def score(predictions: DataFrame, label: str = "tmax") -> Scores:
-    def metric(name):
-        return RegressionEvaluator(
-            predictionCol="prediction", labelCol=label, metricName=name
-        ).evaluate(predictions)
-
-    with cached(predictions.select("prediction", label)) as both:
-        predictions = both
-        return Scores(metric("r2"), metric("rmse"))
+    """Both scores from one aggregate; nan without rows."""
+    found = evaluate.regression_scores(predictions, label).first()
+    return Scores(*(float("nan") if v is None else v for v in (found.r2, found.rmse)))
 
 
 def train(
@@ -71,7 +66,7 @@ def train(
         featuresCol="features", labelCol="tmax", maxIter=max_iter, maxDepth=max_depth, seed=seed
     )
     with cached(assemble.transform(prepare.transform(series))) as ready:
-        train_rows, validation = hash_split(ready, ["station", "date"], share)
+        train_rows, validation = exact_split(ready, ["station", "date"], share)
         fitted = trees.fit(train_rows)
         scores = score(fitted.transform(validation))
     return PipelineModel(stages=[prepare, assemble, fitted]), scores
@@ -86,10 +81,10 @@ def load(path: str) -> PipelineModel:
 
 
 def importances(model: PipelineModel) -> DataFrame:
-    """``feature, importance`` rows of a fitted tree model."""
-    from pyspark.sql import SparkSession
+    """``feature, importance`` rows of a fitted tree model, from the gains of its splits."""
+    return trees.importances(trees.nodes(model.stages[-1]), model.stages[-2].getInputCols())
+
 
-    names = model.stages[-2].getInputCols()
-    values = model.stages[-1].featureImportances.toArray()
-    rows = [(name, float(value)) for name, value in zip(names, values)]
-    return SparkSession.active().createDataFrame(rows, "feature string, importance double")
+def sql_prediction(model: PipelineModel):
+    """The fitted trees as a SQL expression over the feature columns."""
+    return trees.score(trees.nodes(model.stages[-1]), model.stages[-2].getInputCols())
