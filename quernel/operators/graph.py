@@ -5,7 +5,7 @@ from __future__ import annotations
 import itertools
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from quernel.operators.joins import BROADCAST_BYTES, HOT_ROWS, hot_keys, row_bytes
@@ -21,22 +21,25 @@ def edges(adjacency: DataFrame, source: str = "source", dest: str = "dest") -> D
     return each.where((F.col(dest) != "") & F.col(source).isNotNull())
 
 
+#: Levels whose paths are put together before they are written.
+CHAIN = 8
+
+
 class Paths:
-    """Levels of a breadth-first search: each a written table (node, path).
+    """Levels of a breadth-first search: each a written table (node, parent, above).
 
-    ``bound`` is the number of edges at which the search was stopped, or None
-    if it went on until it had what it was to find.
+    ``above`` is the rank of the parent's path among the paths of its level, so a
+    level in order of (above, node) is in order of its paths. No path is kept: they are
+    put together from the parents when they are asked for. ``bound`` is the number of edges
+    at which the search was stopped, or None if it went on until it had what it was to find.
     """
 
     def __init__(self, levels: list[DataFrame], bound: int | None = None):
         self._levels = levels
         self.bound = bound
 
-    def _tagged(self, *columns) -> DataFrame:
-        tagged = [
-            level.select(*columns, F.lit(hops).alias("hops"))
-            for hops, level in enumerate(self._levels)
-        ]
+    def _tagged(self, levels, *columns) -> DataFrame:
+        tagged = [level.select(*columns, F.lit(hops).alias("hops")) for hops, level in enumerate(levels)]
         out = tagged[0]
         for level in tagged[1:]:
             out = out.union(level)
@@ -44,23 +47,88 @@ class Paths:
 
     def hops(self) -> DataFrame:
         """``node, hops``: least number of edges, one row per reached node."""
-        return self._tagged("node")
+        return self._tagged(self._levels, "node")
 
     def paths(self) -> DataFrame:
         """``node, path, hops``: of all shortest paths, the smallest array."""
-        return self._tagged("node", "path")
+        done = [self._levels[0].select("node", F.array("node").alias("path"))]
+        for hops, level in enumerate(self._levels[1:], 1):
+            above = done[-1].select(F.col("node").alias("parent"), "path")
+            joined = level.join(above, "parent").select("node", F.concat("path", F.array("node")).alias("path"))
+            done.append(joined if hops % CHAIN else materialize(joined, "paths"))
+        return self._tagged(done, "node", "path")
 
     def parents(self) -> DataFrame:
         """``node, source, distance``: the node before each node; null at the start."""
-        return self._tagged("node", "path").select(
-            "node",
-            F.try_element_at("path", F.lit(-2)).alias("source"),
-            F.col("hops").alias("distance"),
+        return self._tagged(self._levels, "node", "parent").select(
+            "node", F.col("parent").alias("source"), F.col("hops").alias("distance")
         )
 
     def path_to(self, node) -> DataFrame:
-        """The ``paths`` row of one node, or no row; the filter reaches every level."""
-        return self.paths().where(F.col("node") == F.lit(node))
+        """``node, path, hops`` of one node, or no row: one look-up per level, from the node back to the start."""
+        kind = self._levels[0].schema["node"].dataType.simpleString()
+        spark = self._levels[0].sparkSession
+        back, at = [], None
+        for hops in range(len(self._levels) - 1, -1, -1):
+            wanted = F.lit(node).cast(kind) if not back else F.lit(at)
+            row = self._levels[hops].where(F.col("node") == wanted).select("node", "parent").first()
+            if row is not None:
+                back.append(row.node)
+                at = row.parent
+        rows = [(back[0], back[::-1], len(back) - 1)] if back else []
+        return spark.createDataFrame(rows, f"node {kind}, path array<{kind}>, hops int")
+
+
+class Visited:
+    """Nodes that a search has reached, one list of node columns.
+
+    While small they are broadcast. Beyond the limit they go to a table bucketed by node,
+    to which each round adds its level: candidates, which their aggregate has already dealt by
+    node, meet it without another exchange, and no earlier level is shuffled again.
+    """
+
+    def __init__(self, limit: int):
+        self._levels: list[DataFrame] = []
+        self._bytes, self._limit = 0, limit
+        self._table: str | None = None
+
+    def add(self, level: DataFrame, size: int) -> None:
+        nodes = level.select("node")
+        self._bytes += size
+        if self._table is None and self._bytes <= self._limit:
+            self._levels.append(nodes)
+            return
+        fresh = self._table is None
+        if fresh:
+            self._table = f"visited_{uuid.uuid4().hex}"
+            for earlier in self._levels:
+                nodes = nodes.union(earlier)
+        spark = level.sparkSession
+        buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        writer = nodes.repartition(buckets, "node").write.bucketBy(buckets, "node")
+        if fresh:
+            writer = writer.option("path", scratch_path(spark, "visited"))
+        writer.mode("append").saveAsTable(self._table)
+
+    def new_ones(self, candidates: DataFrame) -> DataFrame:
+        """Candidates that are not known.
+
+        An outer join and a null test: the optimizer would push an anti join below the
+        aggregate that makes the candidates, and so shuffle all edges.
+        """
+        if self._table:
+            known = candidates.sparkSession.table(self._table).hint("merge")
+        else:
+            known = self._levels[0]
+            for level in self._levels[1:]:
+                known = known.union(level)
+            known = F.broadcast(known)
+        marked = candidates.join(known.select("node", F.lit(True).alias("known")), "node", "left")
+        return marked.where("known IS NULL").drop("known")
+
+    def close(self, spark) -> None:
+        if self._table:
+            spark.sql(f"DROP TABLE IF EXISTS {self._table}")
 
 
 class EdgeStore:
@@ -81,7 +149,7 @@ class EdgeStore:
         self._table: str | None = None
 
     def expand(self, level: DataFrame, size: int, strategy: str = "auto") -> DataFrame:
-        """``source, dest, path`` of all edges that leave the nodes of ``level``."""
+        """``source, dest, rank`` of all edges that leave the nodes of ``level`` (node, rank)."""
         level = level.withColumnRenamed("node", "source")
         if strategy != "shuffle" and size <= self._limit:
             return self.edges.join(F.broadcast(level), "source")
@@ -133,14 +201,17 @@ def search(
     """Breadth-first search from ``start`` over (source, dest) rows.
 
     Each round joins the newest level with the edges, keeps one row per new
-    node, and writes it to the shared folder, which cuts the lineage. Stops at
-    ``target``, when nothing new is found, or, if it is given, at ``max_hops``.
+    node, and writes it to the shared folder, which cuts the lineage. What is shuffled of a
+    node is itself, its parent and the rank of the parent's path: fixed widths,
+    however long the paths are. Stops at ``target``, when nothing new is found, or, if it
+    is given, at ``max_hops``.
     """
     spark = edge_table.sparkSession
-    store = EdgeStore(edge_table, hot_rows, limit)
+    store, visited = EdgeStore(edge_table, hot_rows, limit), Visited(limit)
     kind = store.edges.schema["source"].dataType.simpleString()
-    first = spark.range(0, 1, 1, 1).select(F.lit(start).cast(kind).alias("node"))
-    levels = [materialize(first.withColumn("path", F.array("node")), "level")]
+    none = F.lit(None).cast(kind)
+    first = spark.range(0, 1, 1, 1).select(F.lit(start).cast(kind).alias("node"), none.alias("parent"), F.lit(0).cast("bigint").alias("above"))
+    levels = [materialize(first, "level")]
     size, found, bound = 0, start == target, None
     try:
         for hop in itertools.count(1):
@@ -149,18 +220,15 @@ def search(
             if max_hops is not None and hop > max_hops:
                 bound = max_hops
                 break
-            reached = store.expand(levels[-1], size, strategy)
-            best = reached.groupBy(F.col("dest").alias("node")).agg(F.min("path").alias("path"))
-            known = levels[0].select("node")
-            for level in levels[1:]:
-                known = known.union(level.select("node"))
-            fresh = best.join(known, "node", "left_anti")
+            visited.add(levels[-1], size)
+            fresh = next_level(store, visited, levels[-1], size, strategy, limit)
+            is_target = F.lit(False) if target is None else F.col("node") == F.lit(target).cast(kind)
+            # The write itself tells whether to go on and how to join the next round.
+            seen = Observation()
             level = materialize(
-                fresh.select("node", F.concat("path", F.array("node")).alias("path")), "level"
+                fresh.observe(seen, F.sum(row_bytes(fresh)).alias("size"), F.max(is_target).alias("found")), "level"
             )
-            # One pass tells whether to go on and how to join the next round.
-            is_target = F.lit(False) if target is None else F.col("node") == F.lit(target).cast(kind)
-            size, found = level.agg(F.sum(row_bytes(level)), F.max(is_target)).first()
+            size, found = seen.get["size"], seen.get["found"]
             if size is None:
                 break
             levels.append(level)
@@ -168,9 +236,27 @@ def search(
                 Paths(levels).parents().write.json(f"{debug_path}/iter-{hop - 1}")
     finally:
         store.close()
+        visited.close(spark)
     return Paths(levels, bound)
 
 
+def ranked(level: DataFrame, small: bool) -> DataFrame:
+    """``node, rank``: numbers in the order of the nodes' paths, with gaps."""
+    ordered = level.coalesce(1) if small else level.repartitionByRange("above", "node")
+    return ordered.sortWithinPartitions("above", "node").select(
+        "node", F.monotonically_increasing_id().alias("rank")
+    )
+
+
+def next_level(
+    store: EdgeStore, visited: Visited, level: DataFrame, size: int, strategy: str = "auto", limit: int = BROADCAST_BYTES
+) -> DataFrame:
+    """``node, parent, above`` of the nodes first reached from ``level``; of several parents the one with the smallest path."""
+    reached = store.expand(ranked(level, size <= limit), size, strategy)
+    best = reached.groupBy(F.col("dest").alias("node")).agg(F.min(F.struct("rank", "source")).alias("best"))
+    return visited.new_ones(best).select("node", F.col("best.source").alias("parent"), F.col("best.rank").alias("above"))
+
+
 def path_lines(found: Paths, start, target) -> DataFrame:
     """The path as one node per row in order, or one row that says there is none.
 

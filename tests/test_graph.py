@@ -70,10 +70,67 @@ def test_large_levels_join_buckets_without_shuffling_the_edges(spark):
 
     edges = spark.range(500).select((F.col("id") % 50).alias("source"), F.col("id").alias("dest"))
     store = graph.EdgeStore(edges, 10**6, 0)
-    level = spark.range(5).select(F.col("id").alias("node"), F.array("id").alias("path"))
+    level = spark.range(5).select(F.col("id").alias("node"), F.col("id").alias("rank"))
     out = store.expand(level, 10**9)
     plan = plan_of(out, "simple")
     assert "Bucketed: true" in plan and plan.count("Exchange hashpartitioning") == 1
     assert out.count() == 50
     store.close()
     assert not [t for t in spark.catalog.listTables() if t.name.startswith("edges_")]
+
+
+def layered(spark, layers=6, width=40):
+    """Every node of a layer leads to several of the next, so paths of equal length compete."""
+    each = spark.range(layers * width).select((F.col("id") % width).alias("i"), F.floor(F.col("id") / width).alias("k"))
+    ends = F.explode(F.array(*[(F.col("i") * m + m) % width for m in (3, 5, 7, 11)])).alias("j")
+    return each.select("i", "k", ends).select(
+        # Numbers fall with the layer, so that the order of nodes is not that of layers.
+        (F.col("i") * 100 + 50 - F.col("k")).cast("bigint").alias("source"),
+        (F.col("j") * 100 + 49 - F.col("k")).cast("bigint").alias("dest"),
+    )
+
+
+def brute_paths(pairs, start):
+    best, level = {start: [start]}, [start]
+    while level:
+        found = {}
+        for a, b in pairs:
+            if a in level and b not in best:
+                found[b] = min(found.get(b, best[a] + [b]), best[a] + [b])
+        best |= found
+        level = list(found)
+    return best
+
+
+@pytest.mark.parametrize("limit", [1 << 26, 3000, 0])
+def test_smallest_of_the_shortest_paths(spark, monkeypatch, limit):
+    monkeypatch.setattr(graph, "CHAIN", 3)
+    edges = layered(spark).union(spark.createDataFrame([(949, 50), (2049, 1150), (44, 50)], "source bigint, dest bigint"))
+    expected = brute_paths([tuple(r) for r in edges.distinct().collect()], 50)
+    assert len(expected) > 90
+    found = graph.search(edges, 50, limit=limit)
+    assert {r.node: r.path for r in found.paths().collect()} == expected
+    assert {r.node: r.hops for r in found.hops().collect()} == {n: len(p) - 1 for n, p in expected.items()}
+    far = max(expected, key=lambda n: (len(expected[n]), n))
+    assert found.path_to(far).first().path == expected[far]
+    assert found.path_to(50).first().path == [50] and found.path_to(-1).first() is None
+
+
+def test_a_late_round_shuffles_no_earlier_level(spark):
+    from conftest import plan_of
+
+    edges = layered(spark)
+    store, visited = graph.EdgeStore(edges, 10**6, 0), graph.Visited(0)
+    level = spark.createDataFrame([(50, None, 0)], "node bigint, parent bigint, above bigint")
+    for _ in range(4):
+        visited.add(level, 1)
+        level = graph.materialize(graph.next_level(store, visited, level, 1, limit=0), "level")
+    visited.add(level, 1)
+    plan = plan_of(graph.next_level(store, visited, level, 1, limit=0), "simple")
+    # The level by rank, then by node to the edges, and the candidates by node: nothing else moves.
+    assert plan.count("Exchange rangepartitioning") == 1
+    assert plan.count("Exchange hashpartitioning") == 2
+    assert plan.count("Bucketed: true") == 2
+    assert "path" not in plan.split("ReadSchema")[-1]
+    store.close(), visited.close(spark)
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith(("edges_", "visited_"))]
