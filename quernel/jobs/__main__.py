@@ -74,8 +74,22 @@ def build_parser() -> argparse.ArgumentParser:
     sub.add_argument("--path")
     sub.add_argument("--out-option", action="append", metavar="NAME=VALUE")
     _store(sub)
+    for name, *positional in (("wide-create", "path"), ("wide-refresh", "path"), ("wide-lookup", "path", "output")):
+        sub = job(name, *positional)
+        if name != "wide-create":
+            sub.add_argument("keys", nargs="+", help="part keys" if name == "wide-refresh" else "order keys")
+        if name != "wide-lookup":
+            sub.add_argument("--folder")
+            _store(sub)
+        sub.add_argument("--buckets", type=int, default=tables.BUCKETS, help="the same for all commands on a table")
     sub = job("stream-line")
     sub.add_argument("--format", default="kafka")
+    sub.add_argument("--path", help="of a file source")
+    sub.add_argument("--schema", help="of a file source, such as 'value string'")
+    sub.add_argument("--ledger", help="folder of the sums so far; with --checkpoint the job can be started again")
+    sub.add_argument("--checkpoint")
+    sub.add_argument("--once", action="store_true", help="take what is there and end")
+    sub.add_argument("--every", metavar="INTERVAL", help="time between batches, such as '10 seconds'")
     sub.add_argument("--option", action="append", metavar="NAME=VALUE")
     sub.add_argument("--seconds", type=int, default=600)
     sub = job("train-colours", "inputs")
@@ -84,6 +98,9 @@ def build_parser() -> argparse.ArgumentParser:
     sub.add_argument("--grid")
     sub = job("train-tmax", "inputs", "model")
     sub.add_argument("--no-yesterday", action="store_true")
+    sub.add_argument("--iterations", type=int, default=20)
+    sub.add_argument("--depth", type=int, default=10)
+    sub.add_argument("--seed", type=int, default=1)
     job("test-tmax", "model", "inputs")
     sub = job("predict-tmax", "model")
     sub.add_argument("day", type=datetime.date.fromisoformat)
@@ -133,11 +150,23 @@ def _run(spark, args):
     elif a.job == "denormalize":
         tables.denormalize(spark, a.path, a.format, a.folder, _options(a.out_option), **_options(a.option))
     elif a.job == "stream-line":
-        tables.stream_line(spark, a.format, a.seconds, **_options(a.option))
+        result = tables.stream_line(
+            spark, a.format, a.seconds, path=a.path, schema=a.schema, ledger=a.ledger, checkpoint=a.checkpoint,
+            once=a.once, every=a.every, **_options(a.option),
+        )
+        if result is not None:
+            result.show(truncate=False)
+    elif a.job == "wide-create":
+        print(tables.wide_create(spark, a.path, a.format, a.folder, a.buckets, **_options(a.option)))
+    elif a.job == "wide-refresh":
+        print(tables.wide_refresh(spark, a.path, a.keys, a.format, a.folder, a.buckets, **_options(a.option)))
+    elif a.job == "wide-lookup":
+        tables.wide_lookup(spark, a.path, a.output, a.keys, a.buckets)
     elif a.job == "train-colours":
         models.train_colours(spark, a.inputs, a.kind, a.seed, a.grid).show()
     elif a.job == "train-tmax":
-        models.train_tmax(spark, a.inputs, a.model, not a.no_yesterday).show()
+        settings = {"max_iter": a.iterations, "max_depth": a.depth, "seed": a.seed}
+        models.train_tmax(spark, a.inputs, a.model, not a.no_yesterday, **settings).show()
     elif a.job == "test-tmax":
         for result in models.test_tmax(spark, a.model, a.inputs):
             result.show(truncate=False)

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from quernel import sources
 from quernel.functions.weblog import load_records, parse_log
-from quernel.operators import denorm, graph, routing, series, stats
+from quernel.operators import denorm, graph, routing, series, stats, versions
 from quernel.session import even_out
+from quernel.streaming import ledger as books
 from quernel.streaming import line
 
 
@@ -105,11 +106,62 @@ def order_lookup(
     sources.save_lines(report.orderBy("orderkey"), output, single_file=True)
 
 
+#: Buckets of a wide table that is kept up in place.
+BUCKETS = 64
+
+
+def wide_create(
+    spark: SparkSession, path: str, fmt="parquet", folder=None, buckets: int = BUCKETS, **options
+) -> int:
+    """The wide order table in key buckets, as a new version."""
+    table = versions.BucketedTable(spark, path, "orderkey", buckets)
+    return versions.create(table, *_order_tables(spark, fmt, folder, options))
+
+
+def wide_refresh(
+    spark: SparkSession, path: str, parts: Iterable, fmt="parquet", folder=None, buckets: int = BUCKETS, **options
+) -> int:
+    """A new version of it after some parts (keys) were added, renamed or removed in the base tables."""
+    orders, lineitem, part = _order_tables(spark, fmt, folder, options)
+    kind = lineitem.schema["partkey"].dataType.simpleString()
+    keys = spark.createDataFrame([(str(key),) for key in parts], "key string")
+    changed = keys.select(F.col("key").cast(kind).alias("partkey"))
+    table = versions.BucketedTable(spark, path, "orderkey", buckets)
+    return versions.refresh(table, orders, lineitem, part, changed)
+
+
+def wide_lookup(spark: SparkSession, path: str, output: str, keys: Iterable, buckets: int = BUCKETS):
+    """Report lines of some orders, from the buckets that hold them."""
+    found = versions.BucketedTable(spark, path, "orderkey", buckets).look_up(list(keys))
+    sources.save_lines(denorm.order_report(found).orderBy("orderkey"), output, single_file=True)
+
+
 def stream_line(
-    spark: SparkSession, fmt: str, seconds: int = 600, sink: str = "console", path=None, schema=None, **options
-):
-    """Running slope and intercept of a message stream, for at most ``seconds``."""
-    messages = line.open_stream(spark, fmt, path, schema, **options)
-    query = line.start(line.running_line(line.points(messages)), sink)
+    spark: SparkSession,
+    fmt: str,
+    seconds: int = 600,
+    sink: str = "console",
+    path=None,
+    schema=None,
+    ledger: str | None = None,
+    checkpoint: str | None = None,
+    once: bool = False,
+    every: str | None = None,
+    **options,
+) -> DataFrame | None:
+    """Running slope and intercept of a message stream, for at most ``seconds``.
+
+    ``once`` takes what is there and ends; ``every`` is the time between batches. With ``ledger``
+    and ``checkpoint`` the job goes on where it stopped, and the line of all messages so far is returned.
+    """
+    trigger = {"availableNow": True} if once else {"processingTime": every} if every else {}
+    points = line.points(line.open_stream(spark, fmt, path, schema, **options))
+    if ledger:
+        if not checkpoint:
+            raise ValueError("a ledger needs a checkpoint")
+        query = books.start(points, ledger, checkpoint, **trigger)
+    else:
+        query = line.start(line.running_line(points), sink, checkpoint=checkpoint, **trigger)
     query.awaitTermination(seconds)
     query.stop()
+    return books.line_so_far(spark, ledger) if ledger else None

@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,22 +27,17 @@ def max_by_group(
     return df.groupBy(*keys).agg(top.alias(out))
 
 
-def sum_partials(df: DataFrame, value: str) -> DataFrame:
-    """Total and row count through one partial row per partition.
-
-    The built-in aggregate does the same inside the engine; this is the shape
-    for a per-partition computation that only Python can express.
-    """
+def partition_sums(df: DataFrame, value: str) -> DataFrame:
+    """``partition, total, rows``: one row per partition that has rows, combined before the shuffle."""
+    each = df.select(F.spark_partition_id().alias("partition"), F.col(value).cast("double").alias("value"))
+    return each.groupBy("partition").agg(
+        F.coalesce(F.sum("value"), F.lit(0.0)).alias("total"), F.count(F.lit(1)).alias("rows")
+    )
 
-    def partial(batches):
-        total, rows = 0.0, 0
-        for batch in batches:
-            total += pc.sum(batch.column(0)).as_py() or 0.0
-            rows += batch.num_rows
-        yield pa.RecordBatch.from_pydict({"total": [total], "rows": [rows]})
 
-    parts = df.select(F.col(value).cast("double")).mapInArrow(partial, "total double, rows bigint")
-    return parts.agg(F.sum("total").alias("total"), F.sum("rows").alias("rows"))
+def sum_partials(df: DataFrame, value: str) -> DataFrame:
+    """Total and row count over the partial rows of all partitions."""
+    return partition_sums(df, value).agg(F.sum("total").alias("total"), F.sum("rows").alias("rows"))
 
 
 def sorted_partitions(df: DataFrame, keys: Sequence[str], partitions: int) -> DataFrame:

@@ -1,8 +1,8 @@
 """Registered queries on the given tables, and the SQL that checks them."""
 
-from quernel.plans import colours, groups, logs, models, orders, paths, series, streams, text
+from quernel.plans import colours, files, groups, logs, models, orders, paths, series, streams, text, upkeep
 
-MODULES = [orders, text, groups, logs, series, paths, colours, streams, models]
+MODULES = [orders, text, groups, logs, series, paths, colours, streams, models, files, upkeep]
 
 
 def all_queries():

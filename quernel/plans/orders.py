@@ -8,7 +8,8 @@ from quernel.operators import denorm
 from quernel.plans.tables import table
 from quernel.session import materialize
 
-def _tables(spark, folder):
+
+def wide_tables(spark, folder):
     orders = table(spark, folder, "orders").withColumnsRenamed(
         {"o_orderkey": "orderkey", "o_totalprice": "totalprice"}
     )
@@ -22,7 +23,7 @@ def _tables(spark, folder):
 
 
 def order_parts(spark, folder):
-    orders, lineitem, part = _tables(spark, folder)
+    orders, lineitem, part = wide_tables(spark, folder)
     return denorm.order_report_joined(orders, lineitem, part)
 
 
@@ -31,7 +32,7 @@ def _flat(wide):
 
 
 def orders_denorm(spark, folder):
-    orders, lineitem, part = _tables(spark, folder)
+    orders, lineitem, part = wide_tables(spark, folder)
     wide = denorm.denormalize(
         orders.withColumn("orderdate", F.date_format("o_orderdate", "yyyy-MM-dd")).drop("o_orderdate"),
         lineitem,
@@ -41,30 +42,36 @@ def orders_denorm(spark, folder):
 
 
 def orders_denorm_report(spark, folder):
-    orders, lineitem, part = _tables(spark, folder)
+    orders, lineitem, part = wide_tables(spark, folder)
     wide = materialize(denorm.denormalize(orders, lineitem, part), "orders-parts")
     return denorm.order_report(wide)
 
 
 def dearest_orders_report(spark, folder):
     """Keyed look-up; the keys are the five dearest orders, like keys on a command line."""
-    orders, lineitem, part = _tables(spark, folder)
+    orders, lineitem, part = wide_tables(spark, folder)
     dearest = orders.orderBy(F.desc("totalprice"), "orderkey").limit(5)
     keys = [row.orderkey for row in dearest.select("orderkey").collect()]
     return denorm.order_report_joined(orders, denorm.lines_of(lineitem, keys), part, keys)
 
 
-def denorm_refresh(spark, folder):
-    """Rename every part of one brand and drop another brand, then refresh."""
-    orders, lineitem, part = _tables(spark, folder)
-    orders = orders.select("orderkey", "totalprice")
-    wide = denorm.denormalize(orders, lineitem, part)
+def part_changes(part):
+    """The parts after one brand was renamed and another dropped, and the changed ones."""
     is_renamed = F.col("p_brand") == "Brand#11"
     is_deleted = F.col("p_brand") == "Brand#12"
     changed = part.where(is_renamed | is_deleted)
     after = part.where(~is_deleted).withColumn(
         "name", F.when(is_renamed, F.upper("name")).otherwise(F.col("name"))
     )
+    return after, changed
+
+
+def denorm_refresh(spark, folder):
+    """Rename every part of one brand and drop another brand, then refresh."""
+    orders, lineitem, part = wide_tables(spark, folder)
+    orders = orders.select("orderkey", "totalprice")
+    wide = materialize(denorm.denormalize(orders, lineitem, part), "orders-parts")
+    after, changed = part_changes(part)
     return _flat(denorm.refresh(wide, orders, lineitem, after, changed))
 
 

@@ -171,6 +171,39 @@ def test_stream_job(spark, tmp_path):
     assert not spark.streams.active
 
 
+def test_stream_job_goes_on_where_it_stopped(job, tmp_path, capfd):
+    def run():
+        job(
+            "stream-line", "--format", "text", "--path", tmp_path / "in", "--schema", "value string", "--once",
+            "--ledger", tmp_path / "ledger", "--checkpoint", tmp_path / "checkpoint",
+        )
+        return capfd.readouterr().out
+
+    put(tmp_path / "in" / "a.txt", "1 2", "2 4", "x")
+    assert "|2.0 |0.0  |" in run()
+    put(tmp_path / "in" / "b.txt", "3 6", "4 9")
+    # The line of all four points: slope 2.3, intercept -0.5.
+    assert "|2.3 |-0.5 |" in run()
+    assert "|2.3 |-0.5 |" in run()
+
+
+def test_wide_table_commands(job, spark, tmp_path):
+    tables = tmp_path / "tables"
+    orders = [(i, float(i), "x") for i in range(1, 30)]
+    spark.createDataFrame(orders, "orderkey int, totalprice double, comment string").write.parquet(f"{tables}/orders.parquet")
+    lines_ = [(i, 5) for i in range(1, 30)] + [(7, 6), (8, 6)]
+    spark.createDataFrame(lines_, "orderkey int, partkey int").write.parquet(f"{tables}/lineitem.parquet")
+    part = spark.createDataFrame([(5, "nut"), (6, "bolt")], "partkey int, name string")
+    part.write.parquet(f"{tables}/part.parquet")
+    job("wide-create", tmp_path / "wide", "--folder", tables, "--buckets", 8)
+    job("wide-lookup", tmp_path / "wide", tmp_path / "one", 7, 9, 99, "--buckets", 8)
+    assert lines(tmp_path / "one") == ["Order #7 $7.00: bolt, nut", "Order #9 $9.00: nut"]
+    spark.createDataFrame([(5, "nut"), (6, "rod")], "partkey int, name string").write.mode("overwrite").parquet(f"{tables}/part.parquet")
+    job("wide-refresh", tmp_path / "wide", 6, "--folder", tables, "--buckets", 8)
+    job("wide-lookup", tmp_path / "wide", tmp_path / "two", 7, 9, "--buckets", 8)
+    assert lines(tmp_path / "two") == ["Order #7 $7.00: nut, rod", "Order #9 $9.00: nut"]
+
+
 def test_colour_job(job, spark, tmp_path, capfd):
     rows = [f"{i * 11 % 256},{i * 5 % 200},{i * 3 % 200},{w},good" for i in range(90) for w in ["red" if i * 11 % 256 > 99 else "blue"]]
     put(tmp_path / "colours.csv", *rows)
@@ -183,7 +216,7 @@ def test_colour_job(job, spark, tmp_path, capfd):
 def test_tmax_jobs(job, tmp_path, capfd):
     rows = [f"s{s},2019-{m:02d}-{d:02d},49.2,-122.9,33.0,{m + d % 3}.5" for s in (1, 2) for m in (1, 5, 9) for d in range(1, 28)]
     put(tmp_path / "tmax.csv", *rows)
-    job("train-tmax", tmp_path / "tmax.csv", tmp_path / "model")
+    job("train-tmax", tmp_path / "tmax.csv", tmp_path / "model", "--iterations", 3, "--depth", 4)
     job("test-tmax", tmp_path / "model", tmp_path / "tmax.csv")
     job("predict-tmax", tmp_path / "model", "2019-10-08", 49.2, -122.9, 33.0, 12.0)
     out = capfd.readouterr().out
