@@ -5,7 +5,7 @@ from __future__ import annotations
 import itertools
 import uuid
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quernel.operators.joins import BROADCAST_BYTES, HOT_ROWS, hot_keys, row_bytes
@@ -223,12 +223,9 @@ def search(
             visited.add(levels[-1], size)
             fresh = next_level(store, visited, levels[-1], size, strategy, limit)
             is_target = F.lit(False) if target is None else F.col("node") == F.lit(target).cast(kind)
-            # The write itself tells whether to go on and how to join the next round.
-            seen = Observation()
-            level = materialize(
-                fresh.observe(seen, F.sum(row_bytes(fresh)).alias("size"), F.max(is_target).alias("found")), "level"
-            )
-            size, found = seen.get["size"], seen.get["found"]
+            level = materialize(fresh, "level")
+            # One pass tells whether to go on and how to join the next round.
+            size, found = level.agg(F.sum(row_bytes(level)), F.max(is_target)).first()
             if size is None:
                 break
             levels.append(level)
