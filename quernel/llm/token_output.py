@@ -9,7 +9,8 @@ Encoding works on distinct pieces. Where a blank with no other white space aroun
 it follows a character, the byte-level splitting pattern always begins a new
 piece, so a text can be cut there and the pieces encoded one by one; each
 distinct piece is encoded once per task while it is remembered. A text with other runs of
-white space around a blank is encoded whole.
+white space around a blank is encoded whole. The string of an added token in a text gives that
+token, as the library does by itself; it holds no blank, so it is never cut.
 """
 
 from __future__ import annotations
@@ -31,8 +32,8 @@ from quernel.session import scratch_path
 VOCABULARY, END = "byte_bpe_50k.json", 0
 
 #: Ids of a stripe at least, unless the partition ends; pieces that a task remembers.
-STRIPE_IDS = 1024 * range_coder.BLOCK_IDS
-PIECES = 500_000
+STRIPE_IDS = 256 * range_coder.BLOCK_IDS
+PIECES = 200_000
 
 _RUN = re.compile(r" \s|\s ")
 
@@ -44,18 +45,17 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True  # their strings in a text are ordinary text
         self._forget()
 
     def _forget(self):
         self.number: dict[str, int] = {}
-        self.ids: list[list[int]] = []
+        self.ids: list[np.ndarray] = []
 
     def _learn(self, pieces: list[str]):
         got = self.library.encode_batch_fast(pieces, add_special_tokens=False)
         for piece, encoding in zip(pieces, got):
             self.number[piece] = len(self.ids)
-            self.ids.append(encoding.ids)
+            self.ids.append(np.array(encoding.ids, np.uint16))
 
     @staticmethod
     def pieces(text: str) -> list[str]:
@@ -74,7 +74,7 @@ class Encoder:
         used, place = np.unique(flat, return_inverse=True)
         lists = [self.ids[i] for i in used]
         size = np.array([len(x) for x in lists], np.int64)
-        values = np.fromiter((i for x in lists for i in x), np.int64, int(size.sum()))
+        values = np.concatenate([np.empty(0, np.uint16), *lists]).astype(np.int64)
         start = np.cumsum(size) - size
         # Ids of all pieces in a row, cut by text.
         n = size[place]
