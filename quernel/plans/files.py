@@ -11,6 +11,7 @@ from quernel.plans.logs import log_lines
 from quernel.plans.paths import adjacency
 from quernel.plans.tables import table
 from quernel.session import scratch_path
+from quernel.sources import batches
 
 
 def _pages(spark, folder):
@@ -129,6 +130,17 @@ def log_store(spark, folder):
     return rows.withColumn("datetime", F.date_format("datetime", "yyyy-MM-dd HH:mm:ss"))
 
 
+def batched_store(spark, folder):
+    """Parts inserted in batches of 250 rows and read back; no batch is larger, and only a task's last is smaller."""
+    store = scratch_path(spark, "batches")
+    part = table(spark, folder, "part").select("p_partkey", "p_name", "p_brand").repartition(3, "p_partkey")
+    sources.save_table(part, batches.FORMAT, path=store)
+    sizes = [rows for _, rows in batches.listed(store)]
+    fit = max(sizes) <= batches.BATCH_ROWS and sum(n < batches.BATCH_ROWS for n in sizes) <= 3
+    rows = batches.load_batches(spark, store, "p_partkey bigint, p_name string, p_brand string")
+    return rows.withColumn("sizes_fit", F.lit(fit))
+
+
 QUERIES = {
     "page_file_tops": page_file_tops,
     "page_maxima_tabbed": page_maxima_tabbed,
@@ -138,6 +150,7 @@ QUERIES = {
     "comment_mean_files": comment_mean_files,
     "comment_route_files": comment_route_files,
     "log_store": log_store,
+    "batched_store": batched_store,
 }
 
 _PAGES = """
@@ -199,6 +212,7 @@ SELECT CASE WHEN score >= 0 THEN 'positive' ELSE 'negative' END AS side,
        '["' || subreddit || '","' || author || '",' || score || ']' AS line
 FROM comments WHERE contains(subreddit, 'e') AND score IS NOT NULL
 """,
+    "batched_store": "SELECT p_partkey, p_name, p_brand, true AS sizes_fit FROM part",
     "log_store": """
 WITH lines AS (
   SELECT 'h' || user_id AS host, date_trunc('second', ts) AS t, '/' || event_type || '/' || event_id AS path,

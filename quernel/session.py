@@ -71,15 +71,52 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Inputs up to this size are spread whenever there are more cores than splits.
+SMALL_INPUT = 1 << 30
+#: Suffixes of files that are read by one task, however long they are.
+ONE_TASK = (".gz", ".zip", ".deflate", ".snappy", ".lz4", ".zst")
+
+
+def worth_spreading(lengths: dict[str, int], split_bytes: int) -> bool:
+    """Whether files with fewer splits than cores should be shuffled, by their names and lengths.
+
+    A small input is cheap to move and gets all cores. Of a large one every task has at most
+    ``split_bytes`` already, and moving all of it would cost more than idle cores do,
+    unless it holds a file that can't be split and is longer than that.
+    """
+    if sum(lengths.values()) <= SMALL_INPUT:
+        return True
+    # A codec inside a columnar file does not keep it in one piece.
+    whole = [n for name, n in lengths.items() if name.endswith(ONE_TASK) and not name.endswith((".snappy.parquet", ".snappy.orc"))]
+    return any(n > split_bytes for n in whole)
+
+
+def _bytes(text: str) -> int:
+    """Bytes of a setting such as ``128MB``, ``16m`` or ``1048576b``."""
+    units = {"": 0, "k": 10, "m": 20, "g": 30, "t": 40}
+    number = text.lower().removesuffix("b")
+    unit = number[-1] if number[-1].isalpha() else ""
+    return int(number.removesuffix(unit)) << units[unit]
+
+
 def even_out(df: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Repartition only when the input has too few splits to keep the cores busy.
+    """Repartition only when the input has too few splits to keep the cores busy and moving it pays.
 
     A few gzip files, or one file with one row group, give one task each; big
-    splittable inputs already have enough tasks and are left alone.
+    splittable inputs already have tasks of a fit size and are left alone. A number of
+    ``partitions`` that is asked for is given to every input with fewer.
     """
-    wanted = partitions or df.sparkSession.sparkContext.defaultParallelism
+    spark = df.sparkSession
+    wanted = partitions or spark.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= wanted:
         return df
+    files = df.inputFiles()
+    if files and not partitions:
+        # Lengths come from the listing; the contents are not read. There are fewer files than cores.
+        found = spark.read.format("binaryFile").load(files).select("path", "length").collect()
+        lengths = {r.path: r.length for r in found}
+        if not worth_spreading(lengths, _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))):
+            return df
     return df.repartition(wanted)
 
 

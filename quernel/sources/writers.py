@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quernel.sources import batches
+
 
 def save_lines(lines: DataFrame, path: str, column: str = "line", single_file: bool = False):
     """Text output. ``single_file`` is for small reports only."""
@@ -44,7 +46,11 @@ def save_partitioned(df: DataFrame, columns: list[str], path: str, fmt: str = "p
 def save_table(df: DataFrame, fmt: str = "parquet", mode: str = "overwrite", path=None, **options):
     """Table output through any connector; ``overwrite`` empties it first.
 
-    Connector options such as a batch size for inserts are passed on.
+    Connector options such as a batch size for inserts are passed on; ``quernel_batches``
+    inserts in batches of ``batch`` rows.
     """
+    if fmt == batches.FORMAT:
+        size = int(options.get("batch", batches.BATCH_ROWS))
+        return batches.save_batches(df, path, size, "append" if mode == "append" else "overwrite")
     writer = df.write.format(fmt).mode(mode).options(**options)
     writer.save(path) if path else writer.save()

@@ -47,6 +47,37 @@ def test_even_out_only_widens(spark):
     assert session.even_out(wide, 6) is wide
 
 
+def test_what_is_worth_spreading():
+    full = {f"/in/{i}.txt": 128 << 20 for i in range(20)}
+    assert not session.worth_spreading(full, 128 << 20)
+    assert session.worth_spreading({"/in/a.txt": 100 << 20}, 128 << 20)
+    # Four long gzip files are four tasks; short ones are no burden.
+    assert session.worth_spreading({f"/in/{i}.gz": 900 << 20 for i in range(4)}, 128 << 20)
+    assert not session.worth_spreading(full | {"/in/x.gz": 9 << 20}, 128 << 20)
+    assert not session.worth_spreading({f"/in/{i}.snappy.parquet": 900 << 20 for i in range(4)}, 128 << 20)
+    assert [session._bytes(t) for t in ("134217728b", "128MB", "16m", "1g", "7")] == [1 << 27, 1 << 27, 1 << 24, 1 << 30, 7]
+
+
+def test_few_gzip_files_are_spread_and_full_splits_left(spark, tmp_path, monkeypatch):
+    lines = spark.range(3000).selectExpr("CAST(id AS string) AS value")
+    lines.coalesce(2).write.text(str(tmp_path / "gz"), compression="gzip")
+    lines.coalesce(1).write.text(str(tmp_path / "plain"))
+    packed, plain = spark.read.text(str(tmp_path / "gz")), spark.read.text(str(tmp_path / "plain"))
+    monkeypatch.setattr(session, "SMALL_INPUT", 0)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        cores = spark.sparkContext.defaultParallelism
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "2k")
+        assert packed.rdd.getNumPartitions() == 2
+        assert session.even_out(packed).rdd.getNumPartitions() == cores
+        assert session.even_out(plain) is plain
+        assert session.even_out(plain, 50).rdd.getNumPartitions() == 50
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
 def test_cached_releases(spark):
     df = spark.range(3)
     with session.cached(df) as c:
