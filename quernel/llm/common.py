@@ -60,9 +60,18 @@ def text_hash(text: str | Column = "text") -> Column:
 BROADCAST_ROWS = 1_000_000
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """These names with as many underscores before them as it takes for ``df`` to have none of them, in any case."""
+    taken, mark = {c.lower() for c in df.columns}, "_"
+    while any(mark + name in taken for name in names):
+        mark += "_"
+    return [mark + name for name in names]
+
+
 def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
     """``docs`` less the rows with an (id, text hash) of ``gone``, which has columns doc_id and text_hash."""
-    gone = gone.select(F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_hash"))
+    gone_id, gone_hash = unused(docs, "gone_id", "gone_hash")
+    gone = gone.select(F.col("doc_id").alias(gone_id), F.col("text_hash").alias(gone_hash))
     small = gone.count() <= BROADCAST_ROWS
-    same = docs["doc_id"].eqNullSafe(F.col("gone_id")) & (text_hash(docs["text"]) == F.col("gone_hash"))
+    same = docs["doc_id"].eqNullSafe(F.col(gone_id)) & (text_hash(docs["text"]) == F.col(gone_hash))
     return docs.join(F.broadcast(gone) if small else gone, same, "left_anti")

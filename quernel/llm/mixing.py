@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quernel.llm.common import n_words, text_hash, whole
+from quernel.llm.common import n_words, text_hash, unused, whole
 from quernel.session import materialize
 
 #: Fixed values of the contract: weights of the sources in order, and the most copies.
@@ -83,7 +83,8 @@ def mix(
         docs.select(
             "doc_id",
             "source",
-            F.xxhash64(F.lit(seed), "doc_id").alias("draw"),
+            # 63 bits, never negative: leading bits and the whole number have one order.
+            F.shiftrightunsigned(F.xxhash64(F.lit(seed), "doc_id"), 1).alias("draw"),
             text_hash().alias("text_hash"),
             n_words(whole()).alias("size"),
         ),
@@ -92,7 +93,7 @@ def mix(
     rows = slim.count()
     # A power of two, so that a block is a prefix of the drawn number's bits.
     bits = max(0, min(20, (rows // block_rows).bit_length()))
-    block = F.lit(0) if bits == 0 else F.shiftrightunsigned("draw", 64 - bits)
+    block = F.shiftright("draw", 63 - bits)
     slim = slim.withColumn("block", block.cast("int"))
 
     blocks = slim.groupBy("source", "block").agg(F.sum("size").alias("block_size"))
@@ -121,11 +122,12 @@ def mix(
     )
     queued = materialize(queued, "mix-queue")
     times = [_finish(e) for e in range(most)]
-    cut = _cut(queued, times, most, 1 << bits)
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    cut = _cut(queued, times, most, 1 << bits, kind)
     if cut is None:
         copies = F.lit(0)
     else:
-        copies = sum(F.when(_key(e, times) <= cut, 1).otherwise(0) for e in range(most))
+        copies = sum(F.when(_key(e, times, kind) <= cut, 1).otherwise(0) for e in range(most))
     copies = F.when(F.col("size") > 0, copies).otherwise(F.lit(0)).cast("bigint")
     return queued.select(
         "doc_id", "source", "text_hash", "size", "source_size", "target",
@@ -138,16 +140,16 @@ def _finish(epoch: int):
     return F.try_divide(passed.cast("double"), F.col("target"))
 
 
-def _key(epoch: int, times):
+def _key(epoch: int, times, kind: str):
     """The merged order: finish time, then the document, so that ties are settled."""
     return F.struct(
         times[epoch].alias("finish"), F.col("draw"), F.col("doc_id").isNull().alias("no_id"),
-        F.coalesce("doc_id", F.lit(0)).cast("bigint").alias("id"), F.col("text_hash"),
+        F.coalesce("doc_id", F.lit(0).cast(kind)).alias("id"), F.col("text_hash"),
         F.lit(epoch).alias("epoch"),
     )
 
 
-def _cut(queued: DataFrame, times, most: int, blocks: int):
+def _cut(queued: DataFrame, times, most: int, blocks: int, kind: str):
     """Key of the last place in the merged order that the budget still holds, as a literal.
 
     By finish time the words come in at an even rate, so ranges of finish time
@@ -155,7 +157,7 @@ def _cut(queued: DataFrame, times, most: int, blocks: int):
     running sum is taken there only. One row reaches the driver.
     """
     ranges = 64 * blocks
-    passes = F.explode(F.array(*[_key(e, times) for e in range(most)]))
+    passes = F.explode(F.array(*[_key(e, times, kind) for e in range(most)]))
     entries = queued.filter(F.col("size") > 0).select("size", passes.alias("key"))
     entries = entries.withColumn("range", F.floor(F.least(F.col("key.finish"), F.lit(2.0)) * ranges).cast("int"))
     sums = entries.groupBy("range").agg(F.sum("size").alias("words"), F.max("key").alias("last"))
@@ -185,26 +187,30 @@ def _cut(queued: DataFrame, times, most: int, blocks: int):
         return None
     return F.struct(
         F.lit(key.finish).alias("finish"), F.lit(key.draw).cast("bigint").alias("draw"),
-        F.lit(key.no_id).alias("no_id"), F.lit(key.id).cast("bigint").alias("id"),
+        F.lit(key.no_id).alias("no_id"), F.lit(key.id).cast(kind).alias("id"),
         F.lit(key.text_hash).cast("bigint").alias("text_hash"), F.lit(key.epoch).alias("epoch"),
     )
 
 
-
 def mixed_rows(docs: DataFrame, **settings) -> DataFrame:
-    """Rows of ``docs``, each as often as the mix takes it, with the columns of ``docs``."""
-    taken = mix(docs, **settings).groupBy(F.col("doc_id").alias("mix_id"), F.col("text_hash").alias("mix_hash"))
-    taken = taken.agg(F.sum("copies").alias("mix_copies"), F.count("*").alias("mix_rows"))
-    taken = materialize(taken, "mix-copies")
-    same = docs["doc_id"].eqNullSafe(F.col("mix_id")) & (text_hash(docs["text"]) == F.col("mix_hash"))
-    joined = docs.join(taken, same)
-    copies = F.col("mix_copies")
-    if not taken.filter("mix_rows > 1").isEmpty():
-        # Equal rows share their copies: as many each as can be, one more for the first ones.
-        place = F.row_number().over(Window.partitionBy("mix_id", "mix_hash").orderBy(F.lit(0)))
-        joined = joined.withColumn("mix_place", place)
-        extra = (F.col("mix_place") <= F.col("mix_copies") % F.col("mix_rows")).cast("bigint")
-        copies = F.floor(F.col("mix_copies") / F.col("mix_rows")) + extra
-    often = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("mix_n")))
-    kept = joined.withColumn("mix_n", copies.cast("bigint")).filter("mix_n > 0")
-    return kept.select(*[F.col(f"`{c}`") for c in docs.columns], often.alias("mix_copy")).drop("mix_copy")
+    """Rows of ``docs``, each as often as the mix takes it, with the columns of ``docs``, whatever their names.
+
+    Rows with the same id, text and source share their copies: as many each as can be, one more
+    for the first ones by all columns (those of a map type aside).
+    """
+    key = ["doc_id", "text_hash", "source"]
+    taken = mix(docs, **settings).groupBy(*key).agg(F.sum("copies").alias("copies"), F.count("*").alias("rows"))
+    names = unused(docs, "id", "hash", "from", "copies", "rows", "place", "copy")
+    id_, hash_, source, copies, rows, place, copy = names
+    taken = materialize(taken.toDF(id_, hash_, source, copies, rows), "mix-copies")
+    same = docs["doc_id"].eqNullSafe(F.col(id_)) & (text_hash(docs["text"]) == F.col(hash_))
+    joined = docs.join(taken, same & docs["source"].eqNullSafe(F.col(source)))
+    times = F.col(copies)
+    if not taken.filter(F.col(rows) > 1).isEmpty():
+        order = [docs[f"`{c}`"] for c, t in docs.dtypes if "map<" not in t and t != "variant"]
+        joined = joined.withColumn(place, F.row_number().over(Window.partitionBy(id_, hash_, source).orderBy(*order)))
+        extra = (F.col(place) <= F.col(copies) % F.col(rows)).cast("bigint")
+        times = F.floor(F.col(copies) / F.col(rows)) + extra
+    kept = joined.withColumn(copies, times.cast("bigint")).filter(F.col(copies) > 0)
+    often = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col(copies)))
+    return kept.select(*[docs[f"`{c}`"] for c in docs.columns], often.alias(copy)).drop(copy)

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quernel.llm import hashing
-from quernel.llm.common import text_hash, without
+from quernel.llm.common import text_hash, unused, without
 from quernel.session import materialize
 
 #: Fixed values of the contract: shingle length, and link at 100 * common >= 85 * union.
@@ -390,10 +390,13 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     found = materialize(near_duplicates(docs).select("doc_id", "text_hash", "kept"), "near-kept")
     docs = without(docs, found.filter(~F.col("kept")))
     repeated = found.filter("kept AND doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1")
-    repeated = materialize(repeated.select(F.col("doc_id").alias("again")), "near-repeated")
+    again, place = unused(docs, "again", "place")
+    repeated = materialize(repeated.select(F.col("doc_id").alias(again)), "near-repeated")
     if repeated.isEmpty():
         return docs
-    first = Window.partitionBy("doc_id").orderBy(text_hash(), *[c for c, t in docs.dtypes if not t.startswith("map")])
-    several = docs.join(repeated, docs["doc_id"] == F.col("again"), "left_semi")
-    several = several.withColumn("__place", F.row_number().over(first)).filter("__place = 1").drop("__place")
-    return docs.join(repeated, docs["doc_id"] == F.col("again"), "left_anti").unionByName(several)
+    order = [docs[f"`{c}`"] for c, t in docs.dtypes if "map<" not in t and t != "variant"]
+    first = Window.partitionBy(docs["doc_id"]).orderBy(text_hash(docs["text"]), *order)
+    same = docs["doc_id"] == F.col(again)
+    several = docs.join(repeated, same, "left_semi")
+    several = several.withColumn(place, F.row_number().over(first)).filter(F.col(place) == 1).drop(place)
+    return docs.join(repeated, same, "left_anti").unionByName(several)

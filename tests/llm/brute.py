@@ -120,8 +120,7 @@ def mix(docs, seed=7, most=3):
 
     def draw(i):
         first = xxhash.xxh64_intdigest(struct.pack("<i", seed), 42)
-        h = xxhash.xxh64_intdigest(struct.pack("<q", i), first)
-        return h - 2**64 if h >= 2**63 else h
+        return xxhash.xxh64_intdigest(struct.pack("<q", i), first) >> 1
 
     size = {i: len(words(t)) for i, (t, _) in docs.items()}
     of = {i: s for i, (_, s) in docs.items()}
@@ -130,7 +129,6 @@ def mix(docs, seed=7, most=3):
         total[s] += size[i]
     target = {s: float(t) for s, t in targets(total).items()}
     entries, upto = [], Counter()
-    # Blocks are prefixes of the drawn bits, so the order is that of the unsigned number's leading bits.
     for i in sorted(docs, key=draw):
         upto[of[i]] += size[i]
         for e in range(most):

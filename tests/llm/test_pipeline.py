@@ -49,7 +49,10 @@ def test_odd_rows_pass_all_stages(spark, small):
         (3, "One two three four five six seven eight nine ten eleven", "xx", "s", 2),
     ]
     df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
-    df = df.selectExpr("*", "1 AS kept", "'x' AS size", "2 AS text_hash")
+    df = df.selectExpr(
+        "*", "1 AS kept", "'x' AS size", "2 AS text_hash", "3 AS gone_id", "4 AS _gone_hash", "5 AS again", "6 AS _PLACE",
+        "7 AS mix_copy", "8 AS _copies",
+    )
     for frame in (df, df.limit(0)):
         for name, stage in pipeline.STAGES:
             frame = pipeline.materialize(stage(spark, frame, small), "odd")
