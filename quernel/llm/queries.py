@@ -236,36 +236,46 @@ def _found(kind: int, pattern: str, group: int, where: str = "true") -> str:
   FROM texts WHERE {where}"""
 
 
+
+def _beside(parts: str) -> str:
+    """A row of ``parts`` before or behind x, at most the scope away."""
+    return f"""EXISTS (FROM {parts} AS y WHERE x.doc_id = y.doc_id
+    AND greatest(x.start, y.start) - least(x.stop, y.stop) BETWEEN 0 AND {secret_scan.SCOPE})"""
+
+
 _SECRETS = f"""
 WITH texts AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
 found AS (
   {_found(0, secret_scan.ASSIGN, 2)} UNION ALL {_found(1, secret_scan.ACCESS, 0)}
-  UNION ALL {_found(2, secret_scan.HEX, 0)} UNION ALL {_found(4, secret_scan.BLOB, 0, "contains(t, 'AKIA')")}
-  UNION ALL {_found(5, secret_scan.ENDPOINT, 0, "contains(t, 'AKIA')")}),
+  UNION ALL {_found(2, secret_scan.HEX, 0)} UNION ALL {_found(3, secret_scan.IDENTIFIER, 2)}
+  UNION ALL {_found(4, secret_scan.BLOB, 0)} UNION ALL {_found(5, secret_scan.ENDPOINT, 0)}),
 places AS ({_PLACES}),
 base AS (
   SELECT * FROM places
   WHERE kind = 0 AND length(value) >= 12 OR kind = 1 AND length(value) >= 18 OR kind = 2),
-weak_ids AS (SELECT * FROM places WHERE kind = 1 AND length(value) BETWEEN 8 AND 17),
+weak_ids AS (
+  SELECT * REPLACE (3 AS kind) FROM places WHERE kind = 3 OR kind = 1 AND length(value) BETWEEN 8 AND 17),
+short_values AS (SELECT * FROM places WHERE kind = 0 AND length(value) BETWEEN 6 AND 11),
+not_blobs AS (FROM base UNION ALL FROM weak_ids),
 weak_secrets AS (
-  SELECT * FROM places WHERE kind = 0 AND length(value) BETWEEN 6 AND 11
+  FROM short_values
   UNION ALL
   SELECT * FROM places AS p
   WHERE kind = 4 AND regexp_matches(value, '[0-9]') AND regexp_matches(value, '[A-Z]')
     AND regexp_matches(value, '[a-z]')
-    AND NOT EXISTS (FROM base AS b WHERE b.doc_id = p.doc_id AND p.start < b.stop AND b.start < p.stop)),
+    AND NOT EXISTS (FROM not_blobs AS b WHERE b.doc_id = p.doc_id AND p.start < b.stop AND b.start < p.stop)),
 ids AS (SELECT * FROM base WHERE kind = 1 UNION ALL FROM weak_ids),
+assigned AS (SELECT * FROM base WHERE kind = 0 UNION ALL FROM short_values),
 secrets AS (SELECT * FROM base WHERE kind <> 1 UNION ALL FROM weak_secrets),
+endpoints AS (SELECT * FROM places WHERE kind = 5),
 added AS (
-  SELECT doc_id, 3 AS kind, start, stop FROM weak_ids AS x
-  WHERE EXISTS (FROM secrets AS y WHERE x.doc_id = y.doc_id AND abs(x.start - y.start) <= 200)
-  UNION ALL
+  SELECT doc_id, kind, start, stop FROM weak_ids AS x WHERE {_beside("secrets")}
+  UNION
   SELECT doc_id, kind, start, stop FROM weak_secrets AS x
-  WHERE EXISTS (FROM ids AS y WHERE x.doc_id = y.doc_id AND abs(x.start - y.start) <= 200)
-  UNION ALL
-  SELECT doc_id, kind, start, stop FROM places AS x
-  WHERE kind = 5 AND EXISTS (FROM ids AS y WHERE x.doc_id = y.doc_id AND abs(x.start - y.start) <= 200)
-    AND EXISTS (FROM secrets AS y WHERE x.doc_id = y.doc_id AND abs(x.start - y.start) <= 200)),
+  WHERE {_beside("ids")} OR kind = 0 AND {_beside("endpoints")}
+  UNION
+  SELECT doc_id, kind, start, stop FROM endpoints AS x
+  WHERE {_beside("assigned")} OR {_beside("ids")} AND {_beside("secrets")}),
 every AS (SELECT doc_id, kind, start, stop, true AS b FROM base UNION ALL SELECT *, false FROM added),
 named AS (
   SELECT *, concat_ws(':', [{", ".join(repr(k) for k in secret_scan.KINDS)}][kind + 1], start, stop) AS s FROM every)

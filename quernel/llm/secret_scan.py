@@ -1,9 +1,10 @@
 """Secret scan with multipart credential linking.
 
 The base finds assignments, access ids and hex strings by pattern. Weak
-candidates (short access ids, short assigned values, mixed blobs,
-endpoints) are reported only together: an interval join looks, within ``SCOPE`` code
-points in the same document, for the parts that complete them.
+candidates (short access ids, named identifiers such as ``client_id=``, short assigned
+values, mixed blobs, endpoints) are reported only together: an interval join looks for the parts
+that complete them, in the same document and with at most ``SCOPE`` code points between
+the end of one and the start of the other. Parts that overlap don't complete each other.
 
 Places come from the lengths of the matches and of the text between them, added up by a
 window per document and kind. Text is read once and not shuffled.
@@ -26,6 +27,7 @@ LEAST_ASSIGNED, LEAST_ACCESS = 12, 18
 
 #: Weak candidates: code points between complementary parts, and their own patterns and lengths.
 SCOPE = 200
+IDENTIFIER = r"""(?i)(client_?id|access_?key_?id|access_?key|user_?name|user_?id|user|login|account)["']?\x20*[:=]\x20*["']?([A-Za-z0-9_.@+-]{3,})"""
 BLOB = r"[A-Za-z0-9+/]{20,}"
 ENDPOINT = r"https?://[A-Za-z0-9._:/-]+"
 LEAST_WEAK_ASSIGNED, LEAST_WEAK_ACCESS = 6, 8
@@ -58,19 +60,19 @@ def _matches(text: Column, kind: int, pattern: str, value_group: int, only: Colu
 
 
 def scan(docs: DataFrame) -> DataFrame:
-    """(row, doc_id, parts): all matches of all kinds; weak kinds only where the text has an access id at all."""
+    """(row, doc_id, parts): all matches of all kinds; blobs only where the text has an identifier at all."""
     text = whole()
-    always, near_id = F.lit(True), text.contains("AKIA")
+    always, named = F.lit(True), F.col("named")
     parts = [
         _matches(text, 0, ASSIGN, 2, always),
         _matches(text, 1, ACCESS, 0, always),
         _matches(text, 2, HEX, 0, always),
-        _matches(text, 4, BLOB, 0, near_id),
-        _matches(text, 5, ENDPOINT, 0, near_id),
+        _matches(text, 3, IDENTIFIER, 2, named),
+        _matches(text, 4, BLOB, 0, named | text.contains("AKIA")),
+        _matches(text, 5, ENDPOINT, 0, text.contains("://")),
     ]
-    return docs.select(
-        F.monotonically_increasing_id().alias("row"), "doc_id", F.concat(*parts).alias("parts")
-    )
+    read = docs.select("doc_id", "text", text.rlike(IDENTIFIER).alias("named"))
+    return read.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.concat(*parts).alias("parts"))
 
 
 def spans(scanned: DataFrame) -> DataFrame:
@@ -82,25 +84,33 @@ def spans(scanned: DataFrame) -> DataFrame:
     return placed.select("row", "kind", (F.col("end") - F.col("n")).alias("start"), "end", "value")
 
 
-def _near(left: DataFrame, right: DataFrame, how: str = "left_semi", within: int = SCOPE) -> DataFrame:
-    """Spans of ``left`` with (or, anti, without) a span of ``right`` whose start is at most ``within`` away.
+def _near(left: DataFrame, right: DataFrame, within: int = SCOPE) -> DataFrame:
+    """Spans of ``left`` with one of ``right`` before or after them, at most ``within`` code points between.
 
-    Both are cut into bins of that width; a span meets its own bin and the two beside it.
+    The end of one meets the start of the other in bins of that width, whatever the spans' lengths: side 1
+    is a right span behind the left one, side -1 one before it.
     """
-    bins = F.explode(F.array(*[F.floor(F.col("start") / within) + k for k in (-1, 0, 1)]))
-    right = right.select("row", bins.alias("bin"), F.col("start").alias("other")).alias("r")
-    left = left.withColumn("bin", F.floor(F.col("start") / within)).alias("l")
-    close = F.abs(F.col("l.start") - F.col("r.other")) <= within
-    joined = left.join(right, (F.col("l.row") == F.col("r.row")) & (F.col("l.bin") == F.col("r.bin")) & close, how)
-    return joined.drop("bin")
+
+    def ends(after: str, before: str) -> Column:
+        sides = [F.struct(F.lit(s).alias("side"), F.col(c).alias("at")) for s, c in ((1, after), (-1, before))]
+        return F.explode(F.array(*sides))
+
+    a = left.withColumn("e", ends("end", "start")).withColumn("bin", F.floor(F.col("e.at") / within)).alias("a")
+    b = right.select("row", ends("start", "end").alias("e"))
+    b = b.withColumn("bin", F.explode(F.array(*[F.floor(F.col("e.at") / within) - F.col("e.side") * k for k in (0, 1)])))
+    b = b.alias("b")
+    same = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in ("row", "bin", "e.side")]
+    close = (F.col("a.e.side") * (F.col("b.e.at") - F.col("a.e.at"))).between(0, within)
+    return a.join(b, same[0] & same[1] & same[2] & close, "left_semi").select(left.columns).distinct()
 
 
 def link(found: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(base, added) spans (row, kind, start, end) from ``spans``.
 
-    Added are: a short access id with a secret in scope (a base assignment or hex
-    string, a short assigned value, a blob outside the base spans); such a
-    weak secret with an access id in scope; an endpoint with both in scope.
+    Added are: a weak identifier (a short access id, a named one) with a secret in scope (a base
+    assignment or hex string, a short assigned value, a blob outside base and identifier spans); a weak
+    secret of these with an identifier in scope, a short assigned value also with an endpoint; an endpoint
+    with an assigned value in scope, or with an identifier and any secret.
     """
     is_kind = lambda k: F.col("kind") == KINDS.index(k)
     strong = (
@@ -109,21 +119,26 @@ def link(found: DataFrame) -> tuple[DataFrame, DataFrame]:
         | is_kind("hex")
     )
     base = found.filter(strong)
-    weak_ids = found.filter(is_kind("access") & F.col("value").between(LEAST_WEAK_ACCESS, LEAST_ACCESS - 1))
+    short_ids = found.filter(is_kind("access") & F.col("value").between(LEAST_WEAK_ACCESS, LEAST_ACCESS - 1))
+    weak_ids = short_ids.withColumn("kind", F.lit(KINDS.index("id"))).union(found.filter(is_kind("id")))
     short_values = found.filter(
         is_kind("assign") & F.col("value").between(LEAST_WEAK_ASSIGNED, LEAST_ASSIGNED - 1)
     )
-    blobs = _outside(found.filter(is_kind("blob") & (F.col("value") == 1)), base)
+    blobs = _outside(found.filter(is_kind("blob") & (F.col("value") == 1)), base.union(weak_ids))
+    endpoints = found.filter(is_kind("endpoint"))
     ids = base.filter(is_kind("access")).union(weak_ids)
+    assigned = base.filter(is_kind("assign")).union(short_values)
     weak_secrets = short_values.union(blobs)
     secrets = base.filter(~is_kind("access")).union(weak_secrets)
-    endpoints = _near(_near(found.filter(is_kind("endpoint")), ids), secrets)
     added = (
-        _near(weak_ids, secrets).withColumn("kind", F.lit(KINDS.index("id")))
+        _near(weak_ids, secrets)
         .union(_near(weak_secrets, ids))
-        .union(endpoints)
-    )
-    return base.drop("value"), added.drop("value")
+        .union(_near(short_values, endpoints))
+        .union(_near(endpoints, assigned))
+        .union(_near(_near(endpoints, ids), secrets))
+    )
+    # A part may be completed in several ways.
+    return base.drop("value"), added.drop("value").distinct()
 
 
 def _outside(left: DataFrame, right: DataFrame) -> DataFrame:
@@ -150,7 +165,8 @@ def find_secrets(docs: DataFrame) -> DataFrame:
     """(doc_id, n_assign, n_access, n_hex, base, spans), a row per document.
 
     ``base`` and ``spans`` (base and added ones) are kind:start:end by start, then
-    kind in the order of ``KINDS``, joined by commas. A null text has none. Rows with
+    kind in the order of ``KINDS``, joined by commas. A null text has none, a very long one is scanned as a
+    whole, and repeated parts are all reported. Rows with
     the same id, or with none, are scanned one by one. An empty table gives an empty table.
     """
     scanned = materialize(scan(docs), "secret-matches")
