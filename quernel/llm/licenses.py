@@ -9,6 +9,10 @@ A notice inside other text, or over several paragraphs, is neither: a window of
 each template's size also slides over the words of the whole text. A text is left
 out only if it has none of the template's anchors, rare bigrams so many that no
 match can lack them all, or altogether too few of its bigrams.
+
+Licenses share sentences, so each place gets the best template only: one per line and paragraph,
+and of windows that share more than half of the longer one's words the one with the largest coefficient.
+Work is linear in the text for each template, but for the sort of its windows.
 """
 
 from __future__ import annotations
@@ -68,6 +72,49 @@ def bigrams(text: bytes) -> list[tuple[bytes, bytes]]:
     return list(zip(words, words[1:]))
 
 
+def _line_starts(text: bytes) -> list[int]:
+    """The number of words before each line, and of all."""
+    return [0, *accumulate(len(line.translate(_TABLE).split()) for line in text.split(b"\n"))]
+
+
+def _lines(starts: list[int], at: int, stop: int) -> tuple[int, int]:
+    """(first line, number of lines) of these words."""
+    first = bisect_right(starts, at) - 1
+    return first, bisect_left(starts, stop) - first
+
+
+class _Spans:
+    """Disjoint spans of words in order; what meets one that is there is merged with it."""
+
+    def __init__(self):
+        self.starts: list[int] = []
+        self.stops: list[int] = []
+        self.dice: list[float] = []
+
+    def _range(self, at: int, stop: int) -> tuple[int, int]:
+        return bisect_right(self.stops, at), bisect_left(self.starts, stop)
+
+    def meets(self, at: int, stop: int) -> bool:
+        first, last = self._range(at, stop)
+        return first < last
+
+    def add(self, at: int, stop: int, dice: float = 1.0) -> None:
+        first, last = self._range(at, stop)
+        if first < last:
+            at, stop = min(at, self.starts[first]), max(stop, self.stops[last - 1])
+            dice = max(dice, *self.dice[first:last])
+        self.starts[first:last], self.stops[first:last], self.dice[first:last] = [at], [stop], [dice]
+
+    def same_place(self, at: int, stop: int, dice: float) -> bool:
+        """Whether a span with at least this coefficient shares more than half of the longer one's words."""
+        first, last = self._range(at, stop)
+        return any(
+            self.dice[i] >= dice
+            and 2 * (min(stop, self.stops[i]) - max(at, self.starts[i])) > max(stop - at, self.stops[i] - self.starts[i])
+            for i in range(first, last)
+        )
+
+
 class Matcher:
     """Templates in order of their number of bigrams."""
 
@@ -75,6 +122,7 @@ class Matcher:
         made = [(len(b), name, Counter(b)) for name, text in templates.items() if (b := bigrams(text.encode()))]
         self.templates = sorted(made, key=lambda x: x[:2])
         self.sizes = [n for n, _, _ in self.templates]
+        self.size_of = {name: n for n, name, _ in self.templates}
         self.bound, self.ratio = bound, bound / (2 - bound)
         self.known = {pair for _, _, template in self.templates for pair in template}
         #: Bigram to the templates that it is an anchor of.
@@ -110,24 +158,58 @@ class Matcher:
         """(first line, number of lines, bytes) of each line, and of each paragraph of several lines."""
         for i, line in enumerate(text.split(b"\n")):
             yield i, 1, line
-        at = 0
+        at = line = 0
         for match in [*re.finditer(PARAGRAPH, text), None]:
-            part = text[at : match.start() if match else len(text)]
-            if b"\n" in part:
-                yield text.count(b"\n", 0, at), part.count(b"\n") + 1, part
-            at = match.end() if match else at
+            stop = match.start() if match else len(text)
+            inside = text.count(b"\n", at, stop)
+            if inside:
+                yield line, inside + 1, text[at:stop]
+            if match:
+                line += inside + match[0].count(b"\n")
+                at = match.end()
+
+    def best(self, text: bytes):
+        """The (license, dice) of a line or paragraph: the largest coefficient, then the longest template."""
+        found = sorted(self.compare(text), key=lambda x: (-x[1], -self.size_of[x[0]], x[0]))
+        return found[:1]
 
     def matches(self, text: bytes):
-        """(license, dice, first line, number of lines) of lines and paragraphs, then of windows."""
-        found = [(name, dice, i, n) for i, n, part in self.segments(text) for name, dice in self.compare(part)]
-        return [*found, *self.windows(text, found)]
+        """(license, dice, first line, number of lines) of lines and paragraphs, then of windows.
+
+        A window is left out if a window chosen before it, or a line or paragraph with no smaller
+        coefficient, has the same place. Windows are chosen by coefficient, then the longest template, then
+        place. One that meets a line or paragraph of the same license is not reported again.
+        """
+        found = [(name, dice, i, n) for i, n, part in self.segments(text) for name, dice in self.best(part)]
+        placed = list(self.placed_windows(text))
+        if not placed:
+            return found
+        starts = _line_starts(text)
+        taken: dict[str, _Spans] = {}
+        known: dict[str, _Spans] = {}
+        for name, dice, i, n in sorted(found, key=lambda x: (x[2], x[3])):
+            known.setdefault(name, _Spans()).add(starts[i], starts[i + n])
+            taken.setdefault("paragraphs" if n > 1 else "lines", _Spans()).add(starts[i], starts[i + n], dice)
+        chosen = []
+        for name, dice, at, stop in sorted(placed, key=lambda x: (-x[1], -self.size_of[x[0]], x[2], x[0])):
+            if any(spans.same_place(at, stop, dice) for spans in taken.values()):
+                continue
+            taken.setdefault(f"windows of {name}", _Spans()).add(at, stop, dice)
+            if not (name in known and known[name].meets(at, stop)):
+                chosen.append((name, dice, *_lines(starts, at, stop)))
+        return [*found, *chosen]
+
+    def windows(self, text: bytes):
+        """(license, dice, first line, number of lines) of ``placed_windows``."""
+        starts = _line_starts(text)
+        for name, dice, at, stop in self.placed_windows(text):
+            yield name, dice, *_lines(starts, at, stop)
 
-    def windows(self, text: bytes, found=()):
-        """(license, dice, first line, number of lines) of the best windows of the whole text, for each template.
+    def placed_windows(self, text: bytes):
+        """(license, dice, first word, end) of the best windows of the whole text, for each template.
 
         A window has the template's number of bigrams, or all of a shorter text. The best comes first, of equal
-        ones the first in the text, then the best of those without a word in common with it, and so on. Where
-        ``found``, matches of the same form, has the license already, none is given.
+        ones the first in the text, then the best of those without a word in common with it, and so on.
         """
         words = text.translate(_TABLE).split()
         if self.anchors.keys().isdisjoint(zip(words, words[1:])):
@@ -139,19 +221,17 @@ class Matcher:
         if not near:
             return
         have = Counter(known)
-        starts = [0, *accumulate(len(line.translate(_TABLE).split()) for line in text.split(b"\n"))]
         for k in sorted(near):
             size, name, template = self.templates[k]
             if (have & template).total() < least[k]:
                 continue
-            taken = [(starts[i], starts[i + m]) for license, _, i, m in found if license == name]
+            taken = _Spans()
             best = sorted((-dice, at) for at, dice in self.slide(pairs, size, template))
             for dice, at in best:
                 stop = at + min(n, size) + 1
-                if all(stop <= a or b <= at for a, b in taken):
-                    taken.append((at, stop))
-                    first = bisect_right(starts, at) - 1
-                    yield name, -dice, first, bisect_left(starts, stop) - first
+                if not taken.meets(at, stop):
+                    taken.add(at, stop)
+                    yield name, -dice, at, stop
 
     def slide(self, pairs, size: int, template: Counter):
         """(place, dice) of the windows that reach the bound."""
@@ -182,7 +262,8 @@ def scan(docs: DataFrame, templates=TEMPLATES | FULL_TEXTS, bound: float = BOUND
     """(doc_id, matches), a row per document; a match has license, dice, first_line and n_lines.
 
     Windows of the whole text come after lines and paragraphs, and only where these do not have the same
-    license already. A null or blank text has none. Ties and repeated lines are all reported. Rows with the same id are
+    license already. A place has its best license only. A null or blank text has none, a very long one is
+    scanned as a whole. Repeated lines are all reported. Rows with the same id are
     scanned one by one. An empty table gives an empty table.
     """
 

@@ -90,3 +90,53 @@ def test_full_texts():
 def test_full_text_is_scanned(spark):
     found = matches(spark, [licenses.FULL_TEXTS["MIT-text"]])[0]
     assert {"MIT-text", "MIT-grant"} <= {m[0] for m in found}
+
+
+def test_best_license_of_a_place():
+    matcher = licenses.Matcher(licenses.TEMPLATES | licenses.FULL_TEXTS, licenses.BOUND)
+    names = {}
+    for name in ("GPL-2.0", "GPL-3.0", "BSD-2-Clause", "BSD-3-Clause", "MIT"):
+        names[name] = {m[0] for m in matcher.matches(licenses.FULL_TEXTS[f"{name}-text"].encode())}
+        assert f"{name}-text" in names[name]
+    assert not any(n.startswith(("AGPL", "LGPL", "GPL-3")) for n in names["GPL-2.0"])
+    assert not any(n.startswith("GPL-2") for n in names["GPL-3.0"])
+    assert "BSD-3-Clause-text" not in names["BSD-2-Clause"] and "BSD-2-Clause-text" not in names["BSD-3-Clause"]
+    for name in ("GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0"):
+        line = licenses.TEMPLATES[name]
+        assert [m[0] for m in matcher.matches(line.encode())] == [name]
+        assert [m[0] for m in matcher.matches(f"some words before {line} and after".encode())] == [name]
+
+
+def test_spans_as_brute_force():
+    random = Random(4)
+    for _ in range(200):
+        spans, plain = licenses._Spans(), []
+        for _ in range(30):
+            at = random.randrange(100)
+            stop = at + random.randrange(1, 12)
+            hit = any(a < stop and at < b for a, b in plain)
+            assert spans.meets(at, stop) == hit
+            best = any(2 * (min(stop, b) - max(at, a)) > max(stop - at, b - a) for a, b in plain)
+            assert spans.same_place(at, stop, 1.0) == best and not spans.same_place(at, stop, 1.5)
+            if not hit:
+                spans.add(at, stop)
+                plain.append((at, stop))
+
+
+def test_paragraph_places():
+    matcher = licenses.Matcher(licenses.TEMPLATES, licenses.BOUND)
+    text = b"\n \na\nb\n\n\n\nc\n\nd\ne\nf"
+    assert [s for s in matcher.segments(text) if s[1] > 1] == [(2, 2, b"a\nb"), (9, 3, b"d\ne\nf")]
+
+
+def test_time_is_linear_in_repeated_notices():
+    import time
+
+    matcher = licenses.Matcher(licenses.TEMPLATES | licenses.FULL_TEXTS, licenses.BOUND)
+    notice = b"and so it is Released under the MIT License. "
+    took = []
+    for n in (2000, 16000):
+        start = time.process_time()
+        assert len(matcher.matches(notice * n)) == n
+        took.append(time.process_time() - start)
+    assert took[1] < 25 * took[0]
