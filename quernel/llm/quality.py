@@ -3,9 +3,13 @@
 A rule rejects a document when 100 * measure > cutoff * n_words. Its cutoff is
 chosen per stratum from a fixed list, on labelled documents: a cutoff may be used
 only if an exact binomial test shows, at the corrected level, that it
-rejects at most ``risk`` of the good documents of the stratum. All cutoffs
-of all rules in all strata are tested together, so the level is divided by
-their number and the guarantee holds for whichever is chosen. Among the cutoffs
+rejects at most ``risk`` of the good documents of the stratum. The cutoffs of a rule
+are nested: a stricter one rejects whatever a looser one does, so its p-value is no smaller.
+They are tested in that fixed order, from loose to strict, up to the first that fails, and such a
+sequence needs no correction for its length. The level is divided by the number of sequences, one for each
+rule and stratum. Only those count that have enough good documents for a proof at all,
+(1 - risk)^n <= level, which does not look at what is rejected. So the
+guarantee holds for whichever cutoffs are chosen, at once for all strata. Among the cutoffs
 that pass, the one with the largest surplus of bad over good rejected documents
 is taken, then the one that rejects fewest good ones, then the loosest. A rule
 that can't be proved in a stratum, or rejects no more bad than good, is off there.
@@ -181,7 +185,8 @@ def thresholds(measured: DataFrame, labels: DataFrame, stratum="lang", risk=RISK
         F.coalesce(F.sum("x.bad"), F.lit(0)).alias("rejected_bad"),
     )
     tests = materialize(tests.withColumn("p_value", at_most_risk(F.col("n_good"), F.col("rejected_good"), risk)), "quality-tests")
-    corrected = level / max(1, tests.count())
+    able = tests.filter(F.pow(F.lit(1 - risk), F.col("n_good")) <= level).select("stratum", "rule").distinct()
+    corrected = level / max(1, able.count())
     gain = F.col("rejected_bad") - F.col("rejected_good")
     best = F.max_by(
         F.struct("cutoff", "n_good", "rejected_good", "rejected_bad", "p_value"),

@@ -161,7 +161,8 @@ tails AS (
   FROM tests),
 chosen AS (
   SELECT lang, r, arg_max(c, struct_pack(gain := bad - k, k := -k, c := c)) AS c
-  FROM tails WHERE bad > k AND p <= {quality.LEVEL} / (SELECT count(*) FROM tails) GROUP BY lang, r),
+  FROM tails WHERE bad > k AND p <= {quality.LEVEL} / (
+    SELECT count(DISTINCT (lang, r)) FROM tails WHERE pow(1 - {quality.RISK}, n) <= {quality.LEVEL}) GROUP BY lang, r),
 cuts AS (
   SELECT lang, max(c) FILTER (r = 's') AS s, max(c) FILTER (r = 'm') AS m, max(c) FILTER (r = 'd') AS d,
          max(c) FILTER (r = 'r') AS r
@@ -308,7 +309,8 @@ want AS (
 matches AS (
   SELECT s, doc_id, name, 2 * sum(least(have.c, want.c)) / (have.n + want.n) AS dice
   FROM have JOIN want USING (g) GROUP BY s, doc_id, name, have.n, want.n
-  HAVING 2 * sum(least(have.c, want.c)) / (have.n + want.n) >= {licenses.BOUND}),
+  HAVING 2 * sum(least(have.c, want.c)) / (have.n + want.n) >= {licenses.BOUND}
+  QUALIFY row_number() OVER (PARTITION BY s ORDER BY dice DESC, want.n DESC, name) = 1),
 per_doc AS (
   SELECT doc_id, count(*) AS n, max(dice) AS best, string_agg(DISTINCT name, ',' ORDER BY name) AS names
   FROM matches GROUP BY doc_id)

@@ -1,10 +1,12 @@
 import math
 
 import brute
+import duckdb
 import numpy as np
 from pyspark.sql import functions as F
 
 from quernel.llm import quality
+from quernel.llm.queries import ORACLES
 
 
 def repeated(words):
@@ -61,3 +63,65 @@ def test_thresholds_keep_their_promise(spark):
     none = quality.judge(docs, marks.limit(0)).collect()
     assert all(r.kept for r in none)
     assert quality.judge(docs.limit(0), marks).count() == 0
+
+
+def labelled():
+    """Documents in four languages, each with bad ones that another rule tells, and their labels."""
+
+    def text(lang, i, bad):
+        w = [f"w{i}x{k}" for k in range(60 if lang == "es" else 20)]
+        if lang == "en":
+            w = [x + "#" * (k < (12 if bad else 4 * (i % 2))) for k, x in enumerate(w)]
+        elif lang == "de":
+            w = [x + "!" * (k < (7 if bad else 2)) for k, x in enumerate(w)]
+        elif lang == "fr" and bad:
+            return "\n".join(" ".join(w[k : k + 4]) + "\nsame" for k in range(0, 16, 4))
+        elif lang == "es" and bad:
+            w[40:45] = w[5:10]
+        return " ".join(w)
+
+    docs, labels = [], []
+    for lang in ("en", "de", "fr", "es"):
+        for i in range(700):
+            docs.append((len(docs), text(lang, i, i >= 640), lang))
+            labels.append((docs[-1][0], int(i < 640)))
+    # Not labelled, and judged all the same.
+    docs += [(10_000 + k, text(lang, 5, True), lang) for k, lang in enumerate(("en", "de", "fr", "es", None))]
+    return docs, labels
+
+
+def test_rules_in_force_in_each_language(spark):
+    """Known thresholds, and the same verdicts from SQL where the method rejects documents."""
+    rows, marks = labelled()
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    labels = spark.createDataFrame(marks, "doc_id bigint, quality int")
+    chosen = quality.thresholds(quality.measures(docs), labels).collect()
+    assert {(r.stratum, r.rule, r.cutoff, r.n_good, r.rejected_good, r.rejected_bad) for r in chosen} == {
+        ("en", "n_symbols", 50, 640, 0, 60), ("de", "n_marks", 30, 640, 0, 60),
+        ("fr", "n_dup_lines", 10, 640, 0, 60), ("es", "n_repeat_words", 15, 640, 0, 60),
+    }
+    got = {r.doc_id: (r.base_failed, r.kept) for r in quality.judge(docs, labels).collect()}
+    assert [got[10_000 + k] for k in range(5)] == [(False, False)] * 4 + [(False, True)]
+    db = duckdb.connect()
+    db.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR, lang VARCHAR)")
+    db.execute("CREATE TABLE labels (doc_id BIGINT, quality INTEGER)")
+    tables = docs.toPandas(), labels.toPandas()
+    db.register("d", tables[0])
+    db.register("l", tables[1])
+    db.execute("INSERT INTO documents SELECT * FROM d")
+    db.execute("INSERT INTO labels SELECT * FROM l")
+    sql = db.execute(f"SELECT doc_id, base_failed, kept FROM ({ORACLES['op4_quality_rules']})").fetchall()
+    assert {i: (failed, kept) for i, failed, kept in sql} == got
+
+
+def test_the_level_goes_to_sequences_and_not_to_cutoffs(spark):
+    """450 good documents without a rejection are a proof over four sequences of 16 cutoffs, 400 are not."""
+    rows, marks = labelled()
+    en = [r for r in rows if r[2] == "en" and (r[0] < 450 or 640 <= r[0] < 700)]
+    docs = spark.createDataFrame(en, "doc_id bigint, text string, lang string")
+    labels = spark.createDataFrame(marks, "doc_id bigint, quality int")
+    measured = quality.measures(docs)
+    # 450 good ones: 0.99^450 = 0.0109 lies below 0.05 / 4 and above 0.05 / (4 * 16).
+    assert [(r.rule, r.cutoff) for r in quality.thresholds(measured, labels).collect()] == [("n_symbols", 50)]
+    fewer = measured.filter("doc_id < 400 OR doc_id >= 640")
+    assert quality.thresholds(fewer, labels).count() == 0
