@@ -17,7 +17,7 @@
    can't change it, so no link that matters is left out, and no group is
    expanded into rows for all its pairs.
 
-A pair at the bound shares no band with a probability of 4e-8.
+A pair at the bound of 85 shares no band with a probability of 4e-8.
 Components are found by alternating large and small stars on written edges.
 """
 
@@ -112,7 +112,7 @@ def band_keys(regs: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
-def estimate(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray):
+def estimate(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, bound: int = BOUND):
     """(Jaccard estimate, its deviation at the bound) of register rows a and b for sets of these sizes.
 
     Equal registers are counted, less those that two unrelated sets of such sizes
@@ -133,15 +133,14 @@ def estimate(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray):
     # What is truly shared can't collide by chance as well.
     rate = np.minimum(chance / either, 0.5)
     j = (same / either - rate) / (1 - rate)
-    bound = BOUND / 100
-    return j, np.sqrt(bound * (1 - bound) / either)
+    return j, np.sqrt(bound / 100 * (1 - bound / 100) / either)
 
 
-def likely(a, b, n_a, n_b) -> np.ndarray:
+def likely(a, b, n_a, n_b, bound: int = BOUND) -> np.ndarray:
     """Which pairs may reach the bound: by size, and by the estimate."""
     small, large = np.minimum(n_a, n_b), np.maximum(n_a, n_b)
-    j, deviation = estimate(a, b, n_a, n_b)
-    return (100 * small >= BOUND * large) & (j >= BOUND / 100 - SIGMAS * deviation)
+    j, deviation = estimate(a, b, n_a, n_b, bound)
+    return (100 * small >= bound * large) & (j >= bound / 100 - SIGMAS * deviation)
 
 
 _ID = T.StructField("doc_id", T.LongType())
@@ -186,29 +185,29 @@ def _banded(batches):
             )
 
 
-def _estimated(batches):
+def _estimated(batches, bound: int):
     for batch in batches:
         n = [batch.column(i).to_numpy(zero_copy_only=False) for i in (2, 3)]
         if batch.num_rows:
-            keep = likely(_matrix(batch.column(4)), _matrix(batch.column(5)), *n)
+            keep = likely(_matrix(batch.column(4)), _matrix(batch.column(5)), *n, bound)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(i).filter(pa.array(keep)) for i in (0, 1)], ["a", "b"]
             )
 
 
-def _linked(a: np.ndarray, b: np.ndarray) -> bool:
+def _linked(a: np.ndarray, b: np.ndarray, bound: int) -> bool:
     """Whether two sorted sets reach the bound."""
     if len(a) > len(b):
         a, b = b, a
     common = int((b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a).sum())
-    return 100 * common >= BOUND * (len(a) + len(b) - common)
+    return 100 * common >= bound * (len(a) + len(b) - common)
 
 
-def _verified(batches):
+def _verified(batches, bound: int):
     for batch in batches:
         keep = []
         for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-            keep.append(_linked(np.frombuffer(x, _U64), np.frombuffer(y, _U64)))
+            keep.append(_linked(np.frombuffer(x, _U64), np.frombuffer(y, _U64), bound))
         yield pa.RecordBatch.from_arrays(
             [batch.column(i).filter(pa.array(keep, pa.bool_())) for i in (0, 1)], ["a", "b"]
         )
@@ -220,7 +219,7 @@ def _sets(batches):
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["vertex", "shingles"])
 
 
-def _block_links(key, table):
+def _block_links(key, table, bound: int):
     """Links between different components among the members of one block, enough to tie what they tie.
 
     A pair that shares several bands is looked at in the first of them only.
@@ -238,11 +237,11 @@ def _block_links(key, table):
     links = []
     for x in left:
         y = right[right > x] if i == j else right
-        y = y[(group[y] != group[x]) & (100 * np.minimum(n[y], n[x]) >= BOUND * np.maximum(n[y], n[x]))]
-        y = y[likely(regs[x][None, :], regs[y], n[[x]], n[y])] if len(y) else y
+        y = y[(group[y] != group[x]) & (100 * np.minimum(n[y], n[x]) >= bound * np.maximum(n[y], n[x]))]
+        y = y[likely(regs[x][None, :], regs[y], n[[x]], n[y], bound)] if len(y) else y
         y = y[(keys[y] == keys[x]).argmax(axis=1) == band] if len(y) else y
         for z in y:
-            if group[z] != group[x] and _linked(sets[x], sets[z]):
+            if group[z] != group[x] and _linked(sets[x], sets[z], bound):
                 links.append((vertex[x], vertex[z]))
                 group[group == group[z]] = group[x]
     return pa.table({c: pa.array([min(p) if c == "a" else max(p) for p in links], pa.int64()) for c in "ab"})
@@ -279,11 +278,11 @@ def components(edges: DataFrame, label: str) -> DataFrame:
     return now.select(F.col("u").alias("vertex"), F.col("v").alias("component")).union(roots)
 
 
-def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _verify(pairs: DataFrame, sets: DataFrame, bound: int) -> DataFrame:
     a = sets.select(F.col("vertex").alias("a"), F.col("shingles").alias("set_a"))
     b = sets.select(F.col("vertex").alias("b"), F.col("shingles").alias("set_b"))
     full = pairs.join(a, "a").join(b, "b").select("a", "b", "set_a", "set_b")
-    return full.mapInArrow(_verified, _PAIR)
+    return full.mapInArrow(lambda batches: _verified(batches, bound), _PAIR)
 
 
 def _only(docs: DataFrame, ids: DataFrame, column: str) -> DataFrame:
@@ -292,9 +291,11 @@ def _only(docs: DataFrame, ids: DataFrame, column: str) -> DataFrame:
     return docs.join(F.broadcast(ids) if few else ids, docs["doc_id"] == ids[column], "left_semi")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def near_duplicates(docs: DataFrame, bound: int = BOUND) -> DataFrame:
     """(doc_id, text_hash, n_shingles, class_id, component_id, kept), a row per row of ``docs``.
 
+    Documents are linked with 100 * common >= bound * union. A pair at the bound shares no band with a
+    probability of (1 - (bound / 100)^ROWS)^BANDS: 4e-8 at 85, 2e-5 at 80.
     Ids are integers. Rows that share an id are one document: whatever any of them is linked with is linked.
     A row without text or words has an empty set and is linked with nothing;
     nor is a row without an id, whose ``component_id`` is null and which is kept. An
@@ -327,10 +328,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     a = sketch.select(F.col("vertex").alias("a"), F.col("n_shingles").alias("n_a"), F.col("regs").alias("regs_a"))
     b = sketch.select(F.col("vertex").alias("b"), F.col("n_shingles").alias("n_b"), F.col("regs").alias("regs_b"))
     rated = star.join(a, "a").join(b, "b").filter(
-        100 * F.least("n_a", "n_b") >= BOUND * F.greatest("n_a", "n_b")
+        100 * F.least("n_a", "n_b") >= bound * F.greatest("n_a", "n_b")
     )
-    rated = rated.select("a", "b", "n_a", "n_b", "regs_a", "regs_b").mapInArrow(_estimated, _PAIR)
-    links = materialize(_verify(rated, sets), "near-links")
+    rated = rated.select("a", "b", "n_a", "n_b", "regs_a", "regs_b")
+    rated = rated.mapInArrow(lambda batches: _estimated(batches, bound), _PAIR)
+    links = materialize(_verify(rated, sets, bound), "near-links")
     parts = materialize(components(links, "near-stars"), "near-components")
 
     # Members other than the leader: all of them have been compared with it.
@@ -361,7 +363,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         rows = rows.select(
             "key", "block.i", "block.j", "part", "vertex", "component", "n_shingles", "regs", "shingles"
         )
-        more = rows.groupBy("key", "i", "j").applyInArrow(_block_links, _PAIR)
+        more = rows.groupBy("key", "i", "j").applyInArrow(lambda key, table: _block_links(key, table, bound), _PAIR)
         tied = parts.filter("vertex <> component").select(F.col("vertex").alias("a"), F.col("component").alias("b"))
         links = materialize(more.union(tied), "near-more-links")
         parts = materialize(components(links, "near-stars"), "near-components")
@@ -381,13 +383,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
 
 
-def one_of_each(docs: DataFrame) -> DataFrame:
+def one_of_each(docs: DataFrame, bound: int = BOUND) -> DataFrame:
     """``docs`` with one row of each group of near duplicates: the one with the least id.
 
     Of rows that share an id, one document as they are, the one with the least text hash stays. Rows
     without an id all stay.
     """
-    found = materialize(near_duplicates(docs).select("doc_id", "text_hash", "kept"), "near-kept")
+    found = materialize(near_duplicates(docs, bound).select("doc_id", "text_hash", "kept"), "near-kept")
     docs = without(docs, found.filter(~F.col("kept")))
     repeated = found.filter("kept AND doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1")
     again, place = unused(docs, "again", "place")

@@ -33,6 +33,14 @@ def test_a_large_group_of_near_copies(spark):
     assert found(df) == brute.near_duplicates(docs)
 
 
+@pytest.mark.parametrize("bound", [80, 95])
+def test_other_bounds(spark, bound):
+    docs = documents(spark, "/root/testdata/sf0.01")
+    expected = brute.near_duplicates({r.doc_id: r.text for r in docs.collect()}, bound)
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in near_dup.near_duplicates(docs, bound).collect()}
+    assert got == expected
+
+
 def test_edges(spark):
     rows = [
         (1, None, "x"), (2, "", "x"), (3, "a b", "x"), (4, "A  b\n", "y"), (5, "a b c", None), (6, " \t\n ", "x"),

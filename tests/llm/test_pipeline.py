@@ -22,7 +22,7 @@ def test_stages_as_brute_force(spark, small):
         assert frame.columns == start.columns
         got = Counter(r.doc_id for r in frame.collect())
         if name == "near duplicates":
-            near = brute.near_duplicates({i: docs[i].text for i in kept})
+            near = brute.near_duplicates({i: docs[i].text for i in kept}, pipeline.NEAR)
             kept = {i for i in kept if near[i][2]}
         elif name == "benchmark decontamination":
             found = brute.contaminated({i: docs[i].text for i in kept}, items)
