@@ -16,6 +16,10 @@ from quernel.session import materialize
 from quernel.sources import load_table
 
 
+#: Link bound of the near-duplicate stage, in per cent of the union of two documents' shingles.
+NEAR = 80
+
+
 def quality_rules(spark, docs, sf_dir):
     """Documents that the base rule or a proved threshold rejects go."""
     named = docs.withColumn("text_hash", text_hash())
@@ -27,7 +31,7 @@ def quality_rules(spark, docs, sf_dir):
 
 def near_duplicates(spark, docs, sf_dir):
     """One document of each group stays."""
-    return near_dup.one_of_each(docs)
+    return near_dup.one_of_each(docs, NEAR)
 
 
 def benchmark_passages(spark, docs, sf_dir):
