@@ -162,7 +162,7 @@ tails AS (
 chosen AS (
   SELECT lang, r, arg_max(c, struct_pack(gain := bad - k, k := -k, c := c)) AS c
   FROM tails WHERE bad > k AND p <= {quality.LEVEL} / (
-    SELECT count(DISTINCT (lang, r)) FROM tails WHERE pow(1 - {quality.RISK}, n) <= {quality.LEVEL}) GROUP BY lang, r),
+    SELECT greatest(1, count(DISTINCT (lang, r))) FROM tails WHERE pow(1 - {quality.RISK}, n) <= {quality.LEVEL}) GROUP BY lang, r),
 cuts AS (
   SELECT lang, max(c) FILTER (r = 's') AS s, max(c) FILTER (r = 'm') AS m, max(c) FILTER (r = 'd') AS d,
          max(c) FILTER (r = 'r') AS r

@@ -112,6 +112,10 @@ def test_rules_in_force_in_each_language(spark):
     db.execute("INSERT INTO labels SELECT * FROM l")
     sql = db.execute(f"SELECT doc_id, base_failed, kept FROM ({ORACLES['op4_quality_rules']})").fetchall()
     assert {i: (failed, kept) for i, failed, kept in sql} == got
+    # Too few labels for any proof: no sequence counts, and none is in force.
+    db.execute("DELETE FROM labels WHERE doc_id % 700 < 500")
+    sql = db.execute(f"SELECT base_failed, kept FROM ({ORACLES['op4_quality_rules']})").fetchall()
+    assert all(kept != failed for failed, kept in sql)
 
 
 def test_the_level_goes_to_sequences_and_not_to_cutoffs(spark):
