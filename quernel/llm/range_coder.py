@@ -1,17 +1,21 @@
-"""Range coder for token ids that mixes predictions of order 2, 1 and 0.
+"""Range coder for token ids that mixes the predictions of order 0, 1 and 2.
 
-A block of ids is coded by itself. Its model starts empty and learns as it goes:
+A block of ids is coded by itself. Its model starts empty and learns as it goes. Ids
+are numbered in the order in which they first come; contexts are compared in full.
 
-* order 2 and order 1: the id that followed the last two ids, or the last one, when
-  they were last seen, and how often in a row that was right;
-* order 0: how often each id came so far in the block, counted anew whenever the
-  block has doubled;
-* none: any id.
+* order 2 and order 1: for the last two ids, or the last one, the two ids that
+  followed most, with counts; the count of one that did not follow decays;
+* order 0: the share of each id in the block so far, counted anew every few hundred
+  ids, where an id that is new since then counts once;
+* new: any of 65,536 ids.
 
-The weight of each is its adaptive share of hits in a context made of the two
-confidences and whether both predict the same. An id takes the part of the
-interval that belongs to the highest order that predicts it, and there the part
-of its own probability. Blocks have a length and a CRC-32.
+The probability of an id is the weighted sum of what all orders give it. The weights
+depend on how sure orders 1 and 2 are and whether they agree; after each id every
+order's weight grows by its part in that id's probability.
+
+The interval holds first the candidates of orders 2 and 1, each with its whole
+sum, then all other ids of order 0, without the candidates, then the new ones. So
+no id has two places, and neither side needs a search. Blocks have a length and a CRC-32.
 
 Blocks advance in step, one id of every block at a time, as numpy arrays.
 """
@@ -23,91 +27,169 @@ import zlib
 
 import numpy as np
 
-BLOCK_IDS = 8192
-MAGIC = b"CMX1"
+BLOCK_IDS = 4096
+MAGIC = b"CMX2"
 _HEAD = struct.Struct("<4sIII")
-_SLOTS1, _SLOTS2 = 1 << 12, 1 << 13
-_FIRST_TABLE = 64
-_LIMIT = 1 << 11
+_SLOTS2 = 1 << 13
+_CONTEXTS = 32
+_RECOUNT = 512
+#: First weights of order 2, order 1, order 0 and new, and the sum at which weights are halved.
+_WEIGHTS, _LIMIT, _GAIN = (8, 6, 8, 8), 1 << 11, 32
+_ANY, _REST, _NEW = 1 << 16, 4, 5
 _U64 = np.uint64
 _TOP, _BOTTOM, _WORD = _U64(1 << 48), _U64(1 << 32), _U64(16)
 _LOW_MASK = _U64((1 << 32) - 1)
 
+# A context is one integer: two followers, their counts, and for order 2 the context itself.
+_ID_BITS, _COUNT_BITS, _SCALE = 14, 5, 12
+_ID, _MOST = (1 << _ID_BITS) - 1, (1 << _COUNT_BITS) - 1
+_COUNTS_AT, _KEY_AT = 2 * _ID_BITS, 2 * _ID_BITS + 2 * _COUNT_BITS
+_BODY, _KEY = (1 << _KEY_AT) - 1, (1 << 26) - 1
+
+# For each pair of counts: how sure it is (no follower, two, one seen once, one seen more), and both shares.
+_A, _B = np.arange(1 << 2 * _COUNT_BITS) & _MOST, np.arange(1 << 2 * _COUNT_BITS) >> _COUNT_BITS
+_SURE = np.where(_A == 0, 0, np.where(_B > 0, 1, np.where(_A <= 2, 2, 3)))
+_SECOND = (_B << _SCALE) // np.maximum(_A + _B, 1)
+_FIRST = np.where(_A == 0, 0, (1 << _SCALE) - _SECOND)
+
 
 class _Model:
-    """What all blocks know so far; the same in coding and decoding."""
-
-    def __init__(self, lanes: int):
-        self.lane = np.arange(lanes)
-        self.follow1 = np.full(lanes * _SLOTS1, -1, np.int32)
-        self.follow2 = np.full(lanes * _SLOTS2, -1, np.int32)
-        self.sure1 = np.zeros(lanes * _SLOTS1, np.int8)
-        self.sure2 = np.zeros(lanes * _SLOTS2, np.int8)
-        # Shares of: none, order 0, order 1, order 2.
-        self.hits = np.tile(np.array([4, 4, 2, 2], np.int64), (lanes * 32, 1))
+    """What all blocks know so far; the same in coding and decoding.
+
+    Numbers of ids begin with 1; 0 is no id. Arrays are by part, then by block.
+    """
+
+    def __init__(self, lanes: int, length: int):
+        self.lane, self.length = np.arange(lanes), length
+        self.by_id, self.by_step = self.lane * _ANY, self.lane * length
+        self.by_number = self.lane * (length + 1)
+        self.number = np.zeros(lanes * _ANY, np.int16)
+        self.ids = np.zeros(lanes * (length + 1), np.uint16)
+        self.known = np.zeros(lanes, np.int64)
+        self.count = np.zeros(lanes * (length + 1), np.int32)
+        # Order 0: first place and length of each number's run in the table, as one integer; none is behind all.
+        self.run_of = np.full(lanes * (length + 1), _ID << _ID_BITS, np.int32)
+        self.table = np.zeros(lanes * length, np.int16)
+        self.places = np.zeros(lanes, np.int64)
+        self.after1 = np.zeros(lanes * (length + 1), np.int64)
+        self.after2 = np.full(lanes * _SLOTS2, -1, np.int64)
+        self.weights = np.tile(np.array(_WEIGHTS, np.int64), (lanes * _CONTEXTS, 1))
         self.last = np.zeros(lanes, np.int64)
         self.before = np.zeros(lanes, np.int64)
-        self.table = np.zeros((lanes, 0), np.int32)
-
-    def look(self):
-        self.at1 = self.lane * _SLOTS1 + (self.last * 40503 >> 4) % _SLOTS1
-        self.at2 = self.lane * _SLOTS2 + (self.last * 40503 + self.before * 60493 >> 3) % _SLOTS2
-        self.p1, self.p2 = self.follow1[self.at1], self.follow2[self.at2]
-        self.s1, self.s2 = self.sure1[self.at1], self.sure2[self.at2]
-        context = (self.s2.astype(np.int64) * 4 + self.s1) * 2 + (self.p1 == self.p2)
-        self.row = self.lane * 32 + context
-        self.share = self.hits[self.row]
-        self.upto = np.cumsum(self.share, axis=1)
-
-    def learn(self, ids, order):
-        self.hits[self.row, order] += 16
-        full = self.upto[:, 3] > _LIMIT
-        if full.any():
-            rows = self.row[full]
-            self.hits[rows] = (self.hits[rows] + 1) >> 1
-        for follow, sure, at, p, s in (
-            (self.follow1, self.sure1, self.at1, self.p1, self.s1),
-            (self.follow2, self.sure2, self.at2, self.p2, self.s2),
-        ):
-            right = p == ids
-            sure[at] = np.where(right, np.minimum(s + 1, 3), 0)
-            follow[at] = ids
-        self.before, self.last = self.last, ids
-
-    def count_anew(self, so_far):
-        """Order 0 from the ids so far: their sorted list, in which an id's run is its probability."""
-        self.table = np.sort(so_far, axis=1)
-        n = so_far.shape[1]
-        new = np.ones(self.table.shape, bool)
-        new[:, 1:] = self.table[:, 1:] != self.table[:, :-1]
-        place = np.arange(n)
-        self.first = np.maximum.accumulate(np.where(new, place, 0), axis=1)
-        last = np.ones(self.table.shape, bool)
-        last[:, :-1] = new[:, 1:]
-        self.end = np.minimum.accumulate(np.where(last, place, n)[:, ::-1], axis=1)[:, ::-1] + 1
-
-    def interval0(self, ids):
-        """(first place, places) of these ids (lanes, steps) in the table; no places if one isn't there."""
-        n = self.table.shape[1]
-        if not n:
-            return np.zeros(ids.shape, np.int64), np.zeros(ids.shape, np.int64)
-        # All lanes in one search: lane number above the id.
-        flat = (self.table.astype(np.int64) + (self.lane[:, None] << 20)).ravel()
-        want = (ids.astype(np.int64) + (self.lane[:, None] << 20)).ravel()
-        at = np.minimum(np.searchsorted(flat, want), flat.size - 1)
-        there = flat[at] == want
-        lane, place = at // n, at % n
-        first = np.where(there, place, 0)
-        size = np.where(there, self.end[lane, place] - place, 0)
-        return first.reshape(ids.shape), size.reshape(ids.shape)
-
-
-def _tables(length: int):
+
+    def predict(self):
+        """The parts of the interval: four candidates, other known ids, new ids."""
+        self.at1 = self.by_number + self.last
+        self.key2 = self.last << 13 | self.before
+        self.at2 = self.lane * _SLOTS2 + (((self.last * 40503 + self.before * 60493) >> 3) & (_SLOTS2 - 1))
+        state = np.empty((2, len(self.lane)), np.int64)
+        found = self.after2.take(self.at2)
+        state[0] = np.where((found >> _KEY_AT) & _KEY == self.key2, found & _BODY, 0)
+        state[1] = self.after1.take(self.at1)
+        self.most, self.second = state & _ID, (state >> _ID_BITS) & _ID
+        self.counts = state >> _COUNTS_AT
+        sure = _SURE.take(self.counts)
+        context = sure[0] * 8 + sure[1] * 2 + (self.most[0] == self.most[1])
+        self.row = self.lane * _CONTEXTS + context
+        self.weight = weight = np.ascontiguousarray(self.weights.take(self.row, axis=0).T)
+        # Orders 2 and 1: the weight of each, shared out by counts.
+        self.part = part = np.empty((4, len(self.lane)), np.int64)
+        self.guess = guess = np.empty((4, len(self.lane)), np.int64)
+        part[::2], part[1::2] = weight[:2] * _FIRST.take(self.counts), weight[:2] * _SECOND.take(self.counts)
+        guess[::2], guess[1::2] = self.most, self.second
+        mass = np.empty((6, len(self.lane)), np.int64)
+        mass[:4] = part
+        same = guess[:2, None] == guess[None, 2:]
+        mass[:2] += (same * part[2:]).sum(axis=1)
+        once = ~same.any(axis=0)
+        mass[2:4] *= once
+        self.candidate = guess.copy()
+        self.candidate[2:] *= once
+        # Order 0's share of each candidate; floats, since they round alike everywhere.
+        self.run_at = self.run_of.take(self.by_number + self.candidate)
+        size = self.run_at & _ID
+        whole = (weight[2] << _SCALE) * (self.places > 0)
+        self.unit0 = whole / np.maximum(self.places, 1)
+        shared = (self.unit0 * size).astype(np.int64)
+        mass[:4] += shared
+        mass[4] = whole - shared.sum(axis=0)
+        mass[5] = weight[3] << _SCALE
+        self.mass, self.upto = mass, np.cumsum(mass, axis=0)
+        self.total = self.upto[5]
+        self.others = self.places - size.sum(axis=0)
+
+    def outer(self, slot):
+        at = slot * len(self.lane) + self.lane
+        size = self.mass.ravel().take(at)
+        return self.upto.ravel().take(at) - size, size
+
+    def run(self, lanes, number):
+        """(start, size) of known numbers in order 0 without the candidates."""
+        run = self.run_of.take(self.by_number[lanes] + number).astype(np.int64)
+        others = self.run_at[:, lanes]
+        first = run >> _ID_BITS
+        skipped = ((others & _ID) * (others >> _ID_BITS < first)).sum(axis=0)
+        return first - skipped, run & _ID
+
+    def at_place(self, lanes, place):
+        """The numbers at these places of order 0 without the candidates."""
+        for run in np.sort(self.run_at[:, lanes], axis=0):
+            place = place + (run & _ID) * (place >= run >> _ID_BITS)
+        # A damaged block may point behind the table; its checksum tells.
+        return self.table.take(self.by_step[lanes] + np.minimum(place, self.length - 1)).astype(np.int64)
+
+    def learn(self, ids, number, slot):
+        """``number`` is 0 for new ids."""
+        mine = (self.guess == number) * self.part
+        given = np.empty((4, len(self.lane)))
+        given[:2] = mine[::2] + mine[1::2]
+        given[2] = self.unit0 * (self.run_of.take(self.by_number + number) & _ID)
+        given[3] = np.where(slot == _NEW, self.mass[5], 0)
+        weight = self.weight + (given * (_GAIN / np.maximum(given.sum(axis=0), 1))).astype(np.int64)
+        weight = np.where(weight.sum(axis=0) > _LIMIT, (weight + 1) >> 1, weight)
+        self.weights[self.row] = weight.T
+        new = np.flatnonzero(slot == _NEW)
+        if len(new):
+            self.known[new] += 1
+            number = number.copy()
+            number[new] = self.known[new]
+            at = self.by_number[new] + number[new]
+            self.number[self.by_id[new] + ids[new]] = number[new]
+            self.ids[at] = ids[new]
+            self.run_of[at] = self.places[new] << _ID_BITS | 1
+            self.table[self.by_step[new] + self.places[new]] = number[new]
+            self.places[new] += 1
+        self.count[self.by_number + number] += 1
+        # The count of the follower grows, the other's decays; the more frequent, or the later of equals, is first.
+        first, second = self.counts & _MOST, self.counts >> _COUNT_BITS
+        is_first = self.most == number
+        count = np.where(is_first, first, np.where(self.second == number, second, 0)) + 2
+        count = np.minimum(count, _MOST)
+        other, left = np.where(is_first, self.second, self.most), np.where(is_first, second, first)
+        left -= left >> 2
+        mine, theirs = number | count << _COUNTS_AT, other | left << _COUNTS_AT
+        ahead = count >= left
+        front, back = np.where(ahead, mine, theirs), np.where(ahead, theirs, mine)
+        state = front | (back & _ID) << _ID_BITS | (back >> _COUNTS_AT) << (_COUNTS_AT + _COUNT_BITS)
+        self.after1[self.at1] = state[1]
+        self.after2[self.at2] = state[0] | self.key2 << _KEY_AT
+        self.before, self.last = self.last, number
+
+    def count_anew(self, so_far: int):
+        """Order 0 from the counts: every number's run is as long as it came often."""
+        lanes = len(self.lane)
+        used = int(self.known.max()) + 1
+        count = self.count.reshape(lanes, -1)[:, :used]
+        first = np.where(count > 0, np.cumsum(count, axis=1) - count, _ID)
+        self.run_of.reshape(lanes, -1)[:, :used] = first << _ID_BITS | count
+        numbers = np.tile(np.arange(used, dtype=np.int16), lanes)
+        self.table.reshape(lanes, -1)[:, :so_far] = np.repeat(numbers, count.ravel()).reshape(-1, so_far)
+        self.places[:] = so_far
+
+
+def _recounts(length: int) -> set[int]:
     """Steps at which order 0 is counted anew."""
-    at = _FIRST_TABLE
-    while at < length:
-        yield at
-        at *= 2
+    return {64, 128, 256, *range(_RECOUNT, length, _RECOUNT)}
 
 
 def _shift(low, span, emit):
@@ -126,33 +208,24 @@ def _shift(low, span, emit):
         span[moving] <<= _WORD
 
 
-def _encode_step(model, ids, first0, size0):
-    """Order of each id and its two intervals: (start, size, total) of the order, then within it."""
-    order = np.where(
-        model.p2 == ids, 3, np.where(model.p1 == ids, 2, np.where(size0 > 0, 1, 0))
-    )
-    size = model.share[model.lane, order]
-    start = model.upto[model.lane, order] - size
-    n = max(1, model.table.shape[1])
-    inner = (
-        np.where(order == 0, ids, np.where(order == 1, first0, 0)),
-        np.where(order == 1, size0, 1),
-        np.where(order == 0, 1 << 16, np.where(order == 1, n, 1)),
-    )
-    return order, (start, size, model.upto[:, 3]), inner
+def _narrow(low, span, start, size, total):
+    unit = span // total.astype(_U64)
+    return low + unit * start.astype(_U64), unit * size.astype(_U64)
 
 
 def encode(ids: np.ndarray, block_ids: int = BLOCK_IDS) -> bytes:
-    """Ids below 65,536 as a string of independent blocks."""
+    """Ids below 65,536 as a string of independent blocks of at most 8,191 ids."""
     n = len(ids)
     lanes = -(-n // block_ids)
     length = min(block_ids, n)
     if not n:
         return _HEAD.pack(MAGIC, 0, 0, 0)
-    grid = np.zeros(lanes * length, np.int64)
+    if length >= 1 << 13:
+        raise ValueError("a block has at most 8,191 ids")
+    grid = np.zeros(lanes * length, np.uint16)
     grid[:n] = ids
     grid = grid.reshape(lanes, length)
-    model = _Model(lanes)
+    model = _Model(lanes, length)
     low, span = np.zeros(lanes, _U64), np.full(lanes, 2**64 - 1, _U64)
     words = np.zeros((lanes, length * 3 + 16), np.uint16)
     filled = np.zeros(lanes, np.int64)
@@ -161,24 +234,26 @@ def encode(ids: np.ndarray, block_ids: int = BLOCK_IDS) -> bytes:
         words[moving, filled[moving]] = (low[moving] >> _U64(48)).astype(np.uint16)
         filled[moving] += 1
 
-    rebuilt = set(_tables(length))
-    zeros = np.zeros(lanes, np.int64)
-    places = None
+    recounts = _recounts(length)
     for t in range(length):
-        if t in rebuilt:
-            model.count_anew(grid[:, :t].astype(np.int32))
-            upto = min(2 * t, length)
-            places, offset = model.interval0(grid[:, t:upto]), t
-        now = grid[:, t]
-        model.look()
-        first0, size0 = (zeros, zeros) if places is None else (places[0][:, t - offset], places[1][:, t - offset])
-        order, *intervals = _encode_step(model, now, first0, size0)
-        for start, size, total in intervals:
-            unit = span // total.astype(_U64)
-            low = low + unit * start.astype(_U64)
-            span = unit * size.astype(_U64)
+        if t in recounts:
+            model.count_anew(t)
+        now = grid[:, t].astype(np.int64)
+        model.predict()
+        number = model.number.take(model.by_id + now).astype(np.int64)
+        slot = np.where(number > 0, _REST, _NEW)
+        for i in range(4):
+            slot[(model.candidate[i] == number) & (number > 0)] = i
+        low, span = _narrow(low, span, *model.outer(slot), model.total)
+        deep = np.flatnonzero(slot >= _REST)
+        if len(deep):
+            start, size = model.run(deep, number[deep])
+            new = slot[deep] == _NEW
+            start, size = np.where(new, now[deep], start), np.where(new, 1, size)
+            total = np.where(new, _ANY, model.others[deep])
+            low[deep], span[deep] = _narrow(low[deep], span[deep], start, size, total)
         low, span = _shift(low, span, emit)
-        model.learn(now, order)
+        model.learn(now, number, slot)
     for _ in range(4):
         emit(np.arange(lanes), low)
         low = low << _WORD
@@ -196,53 +271,53 @@ def decode(data: bytes) -> np.ndarray:
     if magic != MAGIC:
         raise ValueError("not a token file")
     if not lanes:
-        return np.zeros(0, np.int64)
+        return np.zeros(0, np.uint16)
     index = np.frombuffer(data, "<u4", lanes * 3, _HEAD.size).reshape(3, lanes)
     counts, sizes, checks = index
-    body = np.frombuffer(data, "<u2", int(sizes.sum()), _HEAD.size + index.nbytes).astype(_U64)
-    body = np.r_[body, np.zeros(8, _U64)]
+    body = np.frombuffer(data, "<u2", int(sizes.sum()), _HEAD.size + index.nbytes)
+    body = np.r_[body, np.zeros(8, np.uint16)]
     at = np.r_[0, np.cumsum(sizes.astype(np.int64))[:-1]]
     code = np.zeros(lanes, _U64)
     for _ in range(4):
-        code = code << _WORD | body[at]
+        code = code << _WORD | body[at].astype(_U64)
         at = at + 1
-    model = _Model(lanes)
+    model = _Model(lanes, length)
     low, span = np.zeros(lanes, _U64), np.full(lanes, 2**64 - 1, _U64)
-    out = np.zeros((lanes, length), np.int64)
-    rebuilt = set(_tables(length))
+    out = np.zeros((lanes, length), np.uint16)
 
     def take(moving, _low):
-        code[moving] = code[moving] << _WORD | body[at[moving]]
+        # A damaged block may ask for more than there is; its checksum tells.
+        code[moving] = code[moving] << _WORD | body[np.minimum(at[moving], len(body) - 1)].astype(_U64)
         at[moving] += 1
 
+    def value(lanes, total):
+        total = total.astype(_U64)
+        return np.minimum((code[lanes] - low[lanes]) // (span[lanes] // total), total - _U64(1)).astype(np.int64)
+
+    recounts = _recounts(length)
     for t in range(length):
-        if t in rebuilt:
-            model.count_anew(out[:, :t].astype(np.int32))
-        model.look()
-        total = model.upto[:, 3].astype(_U64)
-        unit = span // total
-        value = np.minimum((code - low) // unit, total - _U64(1)).astype(np.int64)
-        order = (value[:, None] >= model.upto[:, :3]).sum(axis=1)
-        size = model.share[model.lane, order]
-        low = low + unit * (model.upto[model.lane, order] - size).astype(_U64)
-        span = unit * size.astype(_U64)
-        n = max(1, model.table.shape[1])
-        total = np.where(order == 0, 1 << 16, np.where(order == 1, n, 1))
-        unit = span // total.astype(_U64)
-        value = np.minimum((code - low) // unit, (total - 1).astype(_U64)).astype(np.int64)
-        start, size = np.where(order == 0, value, 0), np.ones(lanes, np.int64)
-        ids = np.where(order == 3, model.p2, np.where(order == 2, model.p1, value)).astype(np.int64)
-        if model.table.shape[1]:
-            seen = np.flatnonzero(order == 1)
-            place = value[seen]
-            ids[seen] = model.table[seen, place]
-            start[seen] = model.first[seen, place]
-            size[seen] = model.end[seen, place] - start[seen]
-        low = low + unit * start.astype(_U64)
-        span = unit * size.astype(_U64)
+        if t in recounts:
+            model.count_anew(t)
+        model.predict()
+        slot = (value(model.lane, model.total) >= model.upto[:5]).sum(axis=0)
+        low, span = _narrow(low, span, *model.outer(slot), model.total)
+        number = np.where(slot < _REST, model.candidate[np.minimum(slot, 3), model.lane], 0)
+        deep = np.flatnonzero(slot >= _REST)
+        now = np.zeros(lanes, np.int64)
+        if len(deep):
+            new = slot[deep] == _NEW
+            total = np.where(new, _ANY, np.maximum(model.others[deep], 1))
+            place = value(deep, total)
+            start, size = place.copy(), np.ones(len(deep), np.int64)
+            known = np.flatnonzero(~new)
+            number[deep[known]] = model.at_place(deep[known], place[known])
+            start[known], size[known] = model.run(deep[known], number[deep[known]])
+            now[deep] = place
+            low[deep], span[deep] = _narrow(low[deep], span[deep], start, size, total)
+        now = np.where(slot == _NEW, now, model.ids.take(model.by_number + number))
         low, span = _shift(low, span, take)
-        out[:, t] = ids
-        model.learn(ids, order)
+        out[:, t] = now
+        model.learn(now, number, slot)
     for i in range(lanes):
         if zlib.crc32(out[i, : counts[i]].astype("<u4").tobytes()) != checks[i]:
             raise ValueError(f"block {i} is damaged")

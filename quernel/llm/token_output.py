@@ -32,7 +32,7 @@ from quernel.session import scratch_path
 VOCABULARY, END = "byte_bpe_50k.json", 0
 
 #: Ids of a stripe at least, unless the partition ends; pieces that a task remembers.
-STRIPE_IDS = 256 * range_coder.BLOCK_IDS
+STRIPE_IDS = 768 * range_coder.BLOCK_IDS
 PIECES = 200_000
 
 _RUN = re.compile(r" \s|\s ")
