@@ -28,6 +28,7 @@ import zlib
 import numpy as np
 
 BLOCK_IDS = 4096
+_LEAST_IDS, _FULL_LANES = 2048, 256
 MAGIC = b"CMX2"
 _HEAD = struct.Struct("<4sIII")
 _SLOTS2 = 1 << 13
@@ -187,6 +188,11 @@ class _Model:
         self.places[:] = so_far
 
 
+def block_ids(n: int) -> int:
+    """Ids of a block for a string of ``n``: shorter in short strings, so that a step still serves many blocks."""
+    return min(BLOCK_IDS, max(_LEAST_IDS, -(-n // _FULL_LANES)))
+
+
 def _recounts(length: int) -> set[int]:
     """Steps at which order 0 is counted anew."""
     return {64, 128, 256, *range(_RECOUNT, length, _RECOUNT)}
@@ -213,13 +219,13 @@ def _narrow(low, span, start, size, total):
     return low + unit * start.astype(_U64), unit * size.astype(_U64)
 
 
-def encode(ids: np.ndarray, block_ids: int = BLOCK_IDS) -> bytes:
+def encode(ids: np.ndarray, length: int | None = None) -> bytes:
     """Ids below 65,536 as a string of independent blocks of at most 8,191 ids."""
     n = len(ids)
-    lanes = -(-n // block_ids)
-    length = min(block_ids, n)
     if not n:
         return _HEAD.pack(MAGIC, 0, 0, 0)
+    length = min(length or block_ids(n), n)
+    lanes = -(-n // length)
     if length >= 1 << 13:
         raise ValueError("a block has at most 8,191 ids")
     grid = np.zeros(lanes * length, np.uint16)
