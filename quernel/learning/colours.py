@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from quernel.functions.colour import COLOUR_RGB, lab_grid, lab_statement, rgb_to_lab
 from quernel.learning import evaluate, layers
-from quernel.session import cached
+from quernel.session import cached, spread
 
 # The hidden layer and the share of the absolute penalty.
 HIDDEN, ABSOLUTE = 30, 0.5
@@ -81,8 +81,8 @@ def accuracy(predictions: DataFrame) -> float:
 
 
 def train(rows: DataFrame, validation: DataFrame, **settings) -> Fitted:
-    """Fit on ``rows`` and score ``validation``; both are read many times while cached."""
-    with cached(rows) as a, cached(validation) as b:
+    """Fit on ``rows`` and score ``validation``; both are spread over all cores, and cached for many passes."""
+    with cached(spread(rows)) as a, cached(spread(validation)) as b:
         model = pipeline(**settings).fit(a)
         return Fitted(model, accuracy(model.transform(b)))
 

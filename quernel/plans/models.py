@@ -20,7 +20,7 @@ from quernel.learning.split import exact_split
 from quernel.plans.colours import channels
 from quernel.plans.series import daily_maximum
 from quernel.plans.tables import table
-from quernel.session import scratch_path
+from quernel.session import scratch_path, spread
 
 #: Bounds that the scores must reach on tables of any size, and how far two ways to one number may differ.
 #: The smallest tables have 150 colours and 250 days to learn from: accuracy 0.62, r2 0.78 there.
@@ -62,7 +62,7 @@ def _same_index(model, scored, names):
 def _classified(space, kind):
     def query(spark, folder):
         fitted, _, validation = _train(spark, folder, space, kind)
-        scored = fitted.model.transform(validation).drop("labL", "labA", "labB")
+        scored = fitted.model.transform(spread(validation)).drop("labL", "labA", "labB")
         scored, names = colours.inputs_of(scored, space)
         return _same_index(fitted.model, scored, names).select(
             "R", "G", "B", "word", F.col("label_index").cast("bigint").alias("label_index"), "same_prediction",

@@ -44,6 +44,35 @@ def test_classifier_learns(spark, colour_data, space, kind):
     assert all(r.prediction == r.again for r in found)
 
 
+@pytest.fixture
+def fitted_on(monkeypatch):
+    """Partitions of the rows that an estimator is fitted on, one number per fit."""
+    seen = []
+
+    def watch(estimator):
+        fit = estimator.fit
+
+        def counting(self, rows, *more):
+            seen.append(rows.rdd.getNumPartitions())
+            return fit(self, rows, *more)
+
+        monkeypatch.setattr(estimator, "fit", counting)
+        return seen
+
+    return watch
+
+
+@pytest.mark.parametrize("kind", ["perceptron", "logistic"])
+@pytest.mark.parametrize("parts", [1, 20])
+def test_classifier_is_fitted_on_all_cores(spark, colour_data, fitted_on, kind, parts):
+    """One small file is one task, a shuffle may be hundreds; a fit passes over its rows a hundred times."""
+    seen = fitted_on(colours.Pipeline)
+    rows = colour_data.coalesce(1) if parts == 1 else colour_data.repartition(parts)
+    fitted = colours.train(rows, rows, kind=kind, labels=3, max_iter=2)
+    assert seen == [spark.sparkContext.defaultParallelism]
+    assert fitted.model.transform(rows).count() == 300
+
+
 @pytest.mark.parametrize("n,share", [(4000, 0.75), (9001, 0.5), (3, 0.75), (1, 0.75), (0, 0.75), (10, 1.0), (10, 0.0)])
 def test_exact_split(spark, monkeypatch, n, share):
     monkeypatch.setattr(split, "LAST_ROWS", 50)

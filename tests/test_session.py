@@ -88,3 +88,15 @@ def test_cached_releases(spark):
 def test_defaults_do_not_override_the_deployer(spark, monkeypatch):
     monkeypatch.setattr(session, "DEFAULTS", {"spark.sql.shuffle.partitions": "99"})
     assert session.get_spark("again").conf.get("spark.sql.shuffle.partitions") == "4"
+
+
+def test_spread_is_by_rows_and_cores(spark, monkeypatch):
+    """At least a partition per core and no more rows in one than are set, whatever the input's partitions."""
+    cores = spark.sparkContext.defaultParallelism
+    for df in (spark.range(1000).coalesce(1), spark.range(1000).repartition(50), spark.range(0)):
+        assert session.spread(df).rdd.getNumPartitions() == cores
+    monkeypatch.setattr(session, "TASK_ROWS", 100)
+    many = session.spread(spark.range(1000).coalesce(1))
+    sizes = [len(part) for part in many.rdd.glom().collect()]
+    assert len(sizes) == 10 and sum(sizes) == 1000 and max(sizes) <= 110
+    assert many.distinct().count() == 1000
