@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 
 from quernel.learning import evaluate, trees
 from quernel.learning.split import exact_split
-from quernel.session import cached
+from quernel.session import cached, materialize, spread
 
 PLACE = ("latitude", "longitude", "elevation")
 
@@ -58,14 +58,19 @@ def train(
 
     The previous-day feature is made from the whole series before the split, so
     no day loses its feature because the day before fell on the other side.
-    The model still takes raw rows: the SQL stage is its first stage.
+    The model still takes raw rows: the SQL stage is its first stage. Every level of
+    every tree passes over all days, so they are spread over all cores.
     """
     prepare = SQLTransformer(statement=WITH_YESTERDAY if yesterday else WITHOUT_YESTERDAY)
     assemble = VectorAssembler(inputCols=feature_names(yesterday), outputCol="features")
     trees = GBTRegressor(
         featuresCol="features", labelCol="tmax", maxIter=max_iter, maxDepth=max_depth, seed=seed
     )
-    with cached(assemble.transform(prepare.transform(series))) as ready:
+    # Written once, so that counting the days does not join them again.
+    days = spread(materialize(prepare.transform(series), "days"))
+    # Boosting keeps errors by place: a partition that is made again has its rows in the same order.
+    days = days.sortWithinPartitions(*days.columns)
+    with cached(assemble.transform(days)) as ready:
         train_rows, validation = exact_split(ready, ["station", "date"], share)
         fitted = trees.fit(train_rows)
         scores = score(fitted.transform(validation))

@@ -199,6 +199,15 @@ def test_temperature(spark, tmax, tmp_path, yesterday):
     assert sum(weights.values()) == pytest.approx(1)
 
 
+@pytest.mark.parametrize("parts", [1, 20])
+def test_trees_are_fitted_on_all_cores(spark, tmax, fitted_on, parts):
+    seen = fitted_on(temperature.GBTRegressor)
+    series = tmax.coalesce(1) if parts == 1 else tmax.repartition(parts)
+    model, _ = temperature.train(series, max_iter=1, max_depth=2)
+    assert seen == [spark.sparkContext.defaultParallelism]
+    assert model.transform(series).count() == 4 * 364
+
+
 def test_no_training_row_loses_its_day_before(tmax):
     """The split comes after the previous-day join, so both sides keep all their days."""
     from pyspark.ml.feature import SQLTransformer
