@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from quernel.learning import colours, evaluate, layers, split, temperature, trees
 from quernel.learning.split import hash_split, random_split
+from quernel.plans import models
 
 
 @pytest.fixture(scope="module")
@@ -208,6 +209,16 @@ def test_trees_are_fitted_on_all_cores(spark, tmax, fitted_on, parts):
     assert model.transform(series).count() == 4 * 364
 
 
+def test_saved_model_is_fitted_on_all_cores(spark, small, fitted_on):
+    """The fit that next_day_regressor and feature_importances share, on the days that a shuffle gives."""
+    seen = fitted_on(temperature.GBTRegressor)
+    _series, model, _scores = models._saved_model(spark, small, max_iter=1, max_depth=2)
+    assert seen == [spark.sparkContext.defaultParallelism]
+    own = model.stages[-1].featureImportances.toArray()
+    found = {r.feature: r.importance for r in temperature.importances(model).collect()}
+    assert [found[name] for name in temperature.feature_names()] == pytest.approx(list(own))
+
+
 def test_no_training_row_loses_its_day_before(tmax):
     """The split comes after the previous-day join, so both sides keep all their days."""
     from pyspark.ml.feature import SQLTransformer
