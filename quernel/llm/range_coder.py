@@ -60,21 +60,23 @@ class _Model:
     Numbers of ids begin with 1; 0 is no id. Arrays are by part, then by block.
     """
 
-    def __init__(self, lanes: int, length: int):
+    def __init__(self, lanes: int, length: int, by_id: bool = True):
+        """``by_id`` keeps the number of every id, which neither ``encode`` nor ``decode`` needs: it is the largest table."""
         self.lane, self.length = np.arange(lanes), length
         self.by_id, self.by_step = self.lane * _ANY, self.lane * length
         self.by_number = self.lane * (length + 1)
-        self.number = np.zeros(lanes * _ANY, np.int16)
+        self.number = np.zeros(lanes * _ANY, np.int16) if by_id else None
         self.ids = np.zeros(lanes * (length + 1), np.uint16)
         self.known = np.zeros(lanes, np.int64)
-        self.count = np.zeros(lanes * (length + 1), np.int32)
+        self.count = np.zeros(lanes * (length + 1), np.int16)
         # Order 0: first place and length of each number's run in the table, as one integer; none is behind all.
         self.run_of = np.full(lanes * (length + 1), _ID << _ID_BITS, np.int32)
         self.table = np.zeros(lanes * length, np.int16)
         self.places = np.zeros(lanes, np.int64)
         self.after1 = np.zeros(lanes * (length + 1), np.int64)
         self.after2 = np.full(lanes * _SLOTS2, -1, np.int64)
-        self.weights = np.tile(np.array(_WEIGHTS, np.int64), (lanes * _CONTEXTS, 1))
+        self.weights = np.tile(np.array(_WEIGHTS, np.int64)[:, None], lanes * _CONTEXTS)
+        self.slots, self.contexts = self.lane * _SLOTS2, self.lane * _CONTEXTS
         self.last = np.zeros(lanes, np.int64)
         self.before = np.zeros(lanes, np.int64)
 
@@ -82,7 +84,7 @@ class _Model:
         """The parts of the interval: four candidates, other known ids, new ids."""
         self.at1 = self.by_number + self.last
         self.key2 = self.last << 13 | self.before
-        self.at2 = self.lane * _SLOTS2 + (((self.last * 40503 + self.before * 60493) >> 3) & (_SLOTS2 - 1))
+        self.at2 = self.slots + (((self.last * 40503 + self.before * 60493) >> 3) & (_SLOTS2 - 1))
         state = np.empty((2, len(self.lane)), np.int64)
         found = self.after2.take(self.at2)
         state[0] = np.where((found >> _KEY_AT) & _KEY == self.key2, found & _BODY, 0)
@@ -91,8 +93,8 @@ class _Model:
         self.counts = state >> _COUNTS_AT
         sure = _SURE.take(self.counts)
         context = sure[0] * 8 + sure[1] * 2 + (self.most[0] == self.most[1])
-        self.row = self.lane * _CONTEXTS + context
-        self.weight = weight = np.ascontiguousarray(self.weights.take(self.row, axis=0).T)
+        self.row = self.contexts + context
+        self.weight = weight = self.weights.take(self.row, axis=1)
         # Orders 2 and 1: the weight of each, shared out by counts.
         self.part = part = np.empty((4, len(self.lane)), np.int64)
         self.guess = guess = np.empty((4, len(self.lane)), np.int64)
@@ -115,7 +117,10 @@ class _Model:
         mass[:4] += shared
         mass[4] = whole - shared.sum(axis=0)
         mass[5] = weight[3] << _SCALE
-        self.mass, self.upto = mass, np.cumsum(mass, axis=0)
+        self.mass, self.upto = mass, mass.copy()
+        # Row by row: a sum along the short axis is slower.
+        for before, row in zip(self.upto, self.upto[1:]):
+            row += before
         self.total = self.upto[5]
         self.others = self.places - size.sum(axis=0)
 
@@ -148,14 +153,16 @@ class _Model:
         given[3] = np.where(slot == _NEW, self.mass[5], 0)
         weight = self.weight + (given * (_GAIN / np.maximum(given.sum(axis=0), 1))).astype(np.int64)
         weight = np.where(weight.sum(axis=0) > _LIMIT, (weight + 1) >> 1, weight)
-        self.weights[self.row] = weight.T
-        new = np.flatnonzero(slot == _NEW)
+        for all_rows, mine_now in zip(self.weights, weight):
+            all_rows[self.row] = mine_now
+        new = (slot == _NEW).nonzero()[0]
         if len(new):
             self.known[new] += 1
             number = number.copy()
             number[new] = self.known[new]
             at = self.by_number[new] + number[new]
-            self.number[self.by_id[new] + ids[new]] = number[new]
+            if self.number is not None:
+                self.number[self.by_id[new] + ids[new]] = number[new]
             self.ids[at] = ids[new]
             self.run_of[at] = self.places[new] << _ID_BITS | 1
             self.table[self.by_step[new] + self.places[new]] = number[new]
@@ -198,20 +205,29 @@ def _recounts(length: int) -> set[int]:
     return {64, 128, 256, *range(_RECOUNT, length, _RECOUNT)}
 
 
+def _settled(low, span):
+    """Lanes whose first word is settled, or is forced where the range got small; and the range then."""
+    settled = (low ^ (low + span)) < _TOP
+    small = (span < _BOTTOM) & ~settled
+    if np.count_nonzero(small):
+        span = np.where(small, (~low + _U64(1)) & _LOW_MASK, span)
+        settled |= small
+    return settled, span
+
+
 def _shift(low, span, emit):
     """Move out words that are settled, or force them where the range got small."""
-    while True:
-        settled = (low ^ (low + span)) < _TOP
-        small = ~settled & (span < _BOTTOM)
-        if small.any():
-            span = np.where(small, (~low + _U64(1)) & _LOW_MASK, span)
-            settled |= small
-        moving = np.flatnonzero(settled)
-        if not len(moving):
-            return low, span
-        emit(moving, low)
-        low[moving] <<= _WORD
-        span[moving] <<= _WORD
+    settled, span = _settled(low, span)
+    moving = settled.nonzero()[0]
+    # Only where a word was moved out may there be another.
+    while len(moving):
+        first, width = low[moving], span[moving]
+        emit(moving, first)
+        first <<= _WORD
+        settled, width = _settled(first, width << _WORD)
+        low[moving], span[moving] = first, width
+        moving = moving[settled]
+    return low, span
 
 
 def _narrow(low, span, start, size, total):
@@ -219,6 +235,27 @@ def _narrow(low, span, start, size, total):
     return low + unit * start.astype(_U64), unit * size.astype(_U64)
 
 
+def _numbers(grid: np.ndarray) -> np.ndarray:
+    """For each id of each block its number, by step; negative where the id is new."""
+    lanes, length = grid.shape
+    out = np.empty((length, lanes), np.int16)
+    for at in range(0, lanes, 64):
+        block = grid[at : at + 64]
+        order = np.argsort(block, axis=1, kind="stable")
+        ranked = np.take_along_axis(block, order, axis=1)
+        begins = np.ones(block.shape, bool)
+        begins[:, 1:] = ranked[:, 1:] != ranked[:, :-1]
+        # Equal ids are in a row, the first that comes before the others.
+        begin = np.maximum.accumulate(np.where(begins, np.arange(length), 0), axis=1)
+        first = np.take_along_axis(order, begin, axis=1)
+        new = np.zeros(block.shape, bool)
+        np.put_along_axis(new, order, begins, axis=1)
+        number = np.empty(block.shape, np.int16)
+        np.put_along_axis(number, order, np.take_along_axis(np.cumsum(new, axis=1, dtype=np.int16), first, axis=1), axis=1)
+        out[:, at : at + 64] = np.where(new, -number, number).T
+    return out
+
+
 def encode(ids: np.ndarray, length: int | None = None) -> bytes:
     """Ids below 65,536 as a string of independent blocks of at most 8,191 ids."""
     n = len(ids)
@@ -231,27 +268,35 @@ def encode(ids: np.ndarray, length: int | None = None) -> bytes:
     grid = np.zeros(lanes * length, np.uint16)
     grid[:n] = ids
     grid = grid.reshape(lanes, length)
-    model = _Model(lanes, length)
+    counts = np.full(lanes, length, np.uint32)
+    counts[-1] = n - (lanes - 1) * length
+    checks = [zlib.crc32(grid[i, : counts[i]].astype("<u4").tobytes()) for i in range(lanes)]
+    steps, numbers = np.ascontiguousarray(grid.T), _numbers(grid)
+    del grid
+    model = _Model(lanes, length, by_id=False)
     low, span = np.zeros(lanes, _U64), np.full(lanes, 2**64 - 1, _U64)
     words = np.zeros((lanes, length * 3 + 16), np.uint16)
     filled = np.zeros(lanes, np.int64)
 
     def emit(moving, low):
-        words[moving, filled[moving]] = (low[moving] >> _U64(48)).astype(np.uint16)
-        filled[moving] += 1
+        at = filled[moving]
+        words[moving, at] = low >> _U64(48)
+        filled[moving] = at + 1
 
     recounts = _recounts(length)
     for t in range(length):
         if t in recounts:
             model.count_anew(t)
-        now = grid[:, t].astype(np.int64)
+        now = steps[t].astype(np.int64)
         model.predict()
-        number = model.number.take(model.by_id + now).astype(np.int64)
-        slot = np.where(number > 0, _REST, _NEW)
-        for i in range(4):
-            slot[(model.candidate[i] == number) & (number > 0)] = i
+        number = np.maximum(numbers[t], 0).astype(np.int64)
+        known = number > 0
+        slot = np.where(known, _REST, _NEW)
+        # No known id is a candidate twice.
+        for i, hit in enumerate((model.candidate == number) & known):
+            slot -= (_REST - i) * hit
         low, span = _narrow(low, span, *model.outer(slot), model.total)
-        deep = np.flatnonzero(slot >= _REST)
+        deep = (slot >= _REST).nonzero()[0]
         if len(deep):
             start, size = model.run(deep, number[deep])
             new = slot[deep] == _NEW
@@ -263,9 +308,6 @@ def encode(ids: np.ndarray, length: int | None = None) -> bytes:
     for _ in range(4):
         emit(np.arange(lanes), low)
         low = low << _WORD
-    counts = np.full(lanes, length, np.uint32)
-    counts[-1] = n - (lanes - 1) * length
-    checks = [zlib.crc32(grid[i, : counts[i]].astype("<u4").tobytes()) for i in range(lanes)]
     head = _HEAD.pack(MAGIC, lanes, length, zlib.crc32(counts.tobytes()))
     index = np.stack([counts, filled.astype(np.uint32), np.array(checks, np.uint32)]).astype("<u4").tobytes()
     return head + index + b"".join(words[i, : filled[i]].astype("<u2").tobytes() for i in range(lanes))
@@ -287,9 +329,9 @@ def decode(data: bytes) -> np.ndarray:
     for _ in range(4):
         code = code << _WORD | body[at].astype(_U64)
         at = at + 1
-    model = _Model(lanes, length)
+    model = _Model(lanes, length, by_id=False)
     low, span = np.zeros(lanes, _U64), np.full(lanes, 2**64 - 1, _U64)
-    out = np.zeros((lanes, length), np.uint16)
+    out = np.zeros((length, lanes), np.uint16)
 
     def take(moving, _low):
         # A damaged block may ask for more than there is; its checksum tells.
@@ -308,22 +350,23 @@ def decode(data: bytes) -> np.ndarray:
         slot = (value(model.lane, model.total) >= model.upto[:5]).sum(axis=0)
         low, span = _narrow(low, span, *model.outer(slot), model.total)
         number = np.where(slot < _REST, model.candidate[np.minimum(slot, 3), model.lane], 0)
-        deep = np.flatnonzero(slot >= _REST)
+        deep = (slot >= _REST).nonzero()[0]
         now = np.zeros(lanes, np.int64)
         if len(deep):
             new = slot[deep] == _NEW
             total = np.where(new, _ANY, np.maximum(model.others[deep], 1))
             place = value(deep, total)
             start, size = place.copy(), np.ones(len(deep), np.int64)
-            known = np.flatnonzero(~new)
+            known = (~new).nonzero()[0]
             number[deep[known]] = model.at_place(deep[known], place[known])
             start[known], size[known] = model.run(deep[known], number[deep[known]])
             now[deep] = place
             low[deep], span[deep] = _narrow(low[deep], span[deep], start, size, total)
         now = np.where(slot == _NEW, now, model.ids.take(model.by_number + number))
         low, span = _shift(low, span, take)
-        out[:, t] = now
+        out[t] = now
         model.learn(now, number, slot)
+    out = np.ascontiguousarray(out.T)
     for i in range(lanes):
         if zlib.crc32(out[i, : counts[i]].astype("<u4").tobytes()) != checks[i]:
             raise ValueError(f"block {i} is damaged")

@@ -5,21 +5,27 @@ stripes of whole documents: a list of ids and lengths and one string of
 ``range_coder`` blocks. Spark's own writer puts the stripes into Parquet files, so a lost
 executor or a repeated task leaves no half files, and any file system will do.
 
-Encoding works on distinct pieces. Where a blank with no other white space around
+Encoding works on distinct words. Where a blank with no other white space around
 it follows a character, the byte-level splitting pattern always begins a new
-piece, so a text can be cut there and the pieces encoded one by one; each
-distinct piece is encoded once per task while it is remembered. A text with other runs of
+piece, so a text can be cut there. So it does where a sign follows a letter or digit, and around a
+line end between two signs or letters; pieces are cut there into words, of scripts and signs that are
+sure. Arrow cuts the texts and numbers the pieces, and each distinct word is encoded
+once per worker while it is remembered. A text with other runs of
 white space around a blank is encoded whole. The string of an added token in a text gives that
-token, as the library does by itself; it holds no blank, so it is never cut.
+token, as the library does by itself; it holds no blank and no bound of words, so it is never cut.
 """
 
 from __future__ import annotations
 
+import functools
+import os
 import re
 import zlib
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,17 +37,34 @@ from quernel.session import scratch_path
 #: Fixed values of the contract.
 VOCABULARY, END = "byte_bpe_50k.json", 0
 
-#: Ids of a stripe at least, unless the partition ends; pieces that a task remembers.
+#: Ids of a stripe at least, unless the partition ends; its last stripe has up to half as many more.
 STRIPE_IDS = 768 * range_coder.BLOCK_IDS
-PIECES = 200_000
+#: Words that a worker remembers, their characters, words encoded in one call, and bytes of texts that are cut at once.
+WORDS, CHARS, BATCH, SLICE_BYTES = 400_000, 8_000_000, 4096, 1 << 20
 
-_RUN = re.compile(r" \s|\s ")
+# Letters and digits that every version of Unicode knows as such; signs, but for those of an added token or after which
+# letters may belong to them.
+_KNOWN = "0-9A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
+_BOUND = re.compile(rf"(?<=[{_KNOWN}])(?=[!-&(-/:;=?@\[-^`{{}}~\n])|(?<=[!-~]\n)(?=[!-~{_KNOWN}])")
+
+
+def _plain(piece: str) -> bool:
+    """Not empty, and without white space at its ends."""
+    return piece != "" and piece.strip() == piece
+
+
+def _runs(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The places of all runs, one run after the other."""
+    ends = np.cumsum(size)
+    return np.repeat(start - (ends - size), size) + np.arange(int(size.sum()))
 
 
 class Encoder:
     """Texts to id arrays with the tokenizers library."""
 
     def __init__(self, path: str):
+        # A task has one core; the library would start a thread for each of the machine's.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
@@ -49,40 +72,106 @@ class Encoder:
 
     def _forget(self):
         self.number: dict[str, int] = {}
-        self.ids: list[np.ndarray] = []
-
-    def _learn(self, pieces: list[str]):
-        got = self.library.encode_batch_fast(pieces, add_special_tokens=False)
-        for piece, encoding in zip(pieces, got):
-            self.number[piece] = len(self.ids)
-            self.ids.append(np.array(encoding.ids, np.uint16))
-
-    @staticmethod
-    def pieces(text: str) -> list[str]:
-        if _RUN.search(text):
-            return [text]
-        first, *rest = text.split(" ")
-        return [first, *[" " + r for r in rest]] if first else [" " + r for r in rest]
+        self.chars = 0
+        # The ids of word i are ``size[i]`` from ``start[i]`` on.
+        self.ids = np.empty(0, np.uint16)
+        self.start, self.size = np.empty(0, np.int64), np.empty(0, np.int64)
+
+    def _coded(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in a row, and how many each has."""
+        # Some at a time: the library's own form of a result takes far more room than its ids.
+        ids, sizes = [np.empty(0, np.uint16)], [np.empty(0, np.int64)]
+        for at in range(0, len(texts), BATCH):
+            lists = [e.ids for e in self.library.encode_batch_fast(texts[at : at + BATCH], add_special_tokens=False)]
+            sizes.append(np.fromiter(map(len, lists), np.int64, len(lists)))
+            ids.append(np.fromiter(chain.from_iterable(lists), np.uint16, int(sizes[-1].sum())))
+        return np.concatenate(ids), np.concatenate(sizes)
+
+    def _learn(self, words: list[str]):
+        ids, size = self._coded(words)
+        self.number.update(zip(words, range(len(self.size), len(self.size) + len(words))))
+        self.chars += sum(map(len, words))
+        self.start = np.concatenate([self.start, len(self.ids) + np.cumsum(size) - size])
+        self.size = np.concatenate([self.size, size])
+        self.ids = np.concatenate([self.ids, ids])
+
+    def _pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids in a row, start, size) of these pieces."""
+        if len(self.number) > WORDS or self.chars > CHARS:
+            self._forget()
+        known = np.fromiter(map(self.number.get, pieces, repeat(-1)), np.int64, len(pieces))
+        at = np.flatnonzero(known < 0)
+        cut = [_BOUND.split(pieces[i]) for i in at.tolist()]
+        new = set(chain.from_iterable(cut)) - self.number.keys()
+        if new:
+            self._learn(list(new))
+        n = np.ones(len(pieces), np.int64)
+        n[at] = np.fromiter(map(len, cut), np.int64, len(cut))
+        flat = np.repeat(known, n)
+        flat[flat < 0] = np.fromiter(map(self.number.__getitem__, chain.from_iterable(cut)), np.int64, int(n[at].sum()))
+        upto = np.r_[0, np.cumsum(self.size[flat])]
+        last = np.cumsum(n)
+        start = upto[last - n]
+        return self.ids[_runs(self.start[flat], self.size[flat])], start, upto[last] - start
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text, followed by the end."""
-        if len(self.number) > PIECES:
-            self._forget()
-        cut = [self.pieces(t) for t in texts]
-        self._learn(list({p for pieces in cut for p in pieces} - self.number.keys()))
-        flat = np.fromiter((self.number[p] for pieces in cut for p in pieces), np.int64)
-        used, place = np.unique(flat, return_inverse=True)
-        lists = [self.ids[i] for i in used]
-        size = np.array([len(x) for x in lists], np.int64)
-        values = np.concatenate([np.empty(0, np.uint16), *lists]).astype(np.int64)
-        start = np.cumsum(size) - size
-        # Ids of all pieces in a row, cut by text.
-        n = size[place]
-        ends = np.cumsum(n)
-        spread = np.repeat(start[place] - (ends - n), n) + np.arange(int(n.sum()))
-        ids = values[spread]
-        bounds = np.r_[0, ends][np.r_[0, np.cumsum([len(p) for p in cut])].astype(int)]
-        return [np.append(ids[a:b], END) for a, b in zip(bounds[:-1], bounds[1:])]
+        ids, lengths = self.flat(pa.array(texts, pa.large_string()))
+        ends = np.cumsum(lengths)
+        return [ids[a:b] for a, b in zip(ends - lengths, ends)]
+
+    def flat(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in a row, each followed by the end, and how many each has."""
+        cut = pc.split_pattern(texts, " ")
+        counts = cut.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+        coded = cut.flatten().dictionary_encode()
+        distinct, piece = coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False)
+        ends = np.cumsum(counts)
+        first, last = np.zeros((2, len(piece)), bool)
+        first[ends - counts] = last[ends - 1] = True
+        # Texts where the blank between two pieces has other white space beside it.
+        opens, closes, empty = edges = np.zeros((3, len(distinct)), bool)
+        for i in np.flatnonzero(np.fromiter(map(_plain, distinct), bool, len(distinct)) == 0).tolist():
+            edges[:, i] = distinct[i][:1].isspace(), distinct[i][-1:].isspace(), not distinct[i]
+        run = opens[piece] & ~first | closes[piece] & ~last | empty[piece] & ~first & ~last
+        text = np.repeat(np.arange(len(counts)), counts)
+        whole = np.zeros(len(counts), bool)
+        whole[text[run]] = True
+        # All others by pieces; one that does not begin a text has its blank before it.
+        mine = ~whole[text]
+        place = piece[mine].astype(np.int64) * 2 + ~first[mine]
+        seen = np.zeros(2 * len(distinct), bool)
+        seen[place] = True
+        used = np.flatnonzero(seen)
+        values, start, size = self._pieces([" " + distinct[i >> 1] if i & 1 else distinct[i >> 1] for i in used.tolist()])
+        place = (np.cumsum(seen) - 1)[place]
+        at = np.flatnonzero(whole)
+        whole_ids, whole_size = self._coded(texts.take(pa.array(at)).to_pylist())
+        # Behind the pieces come the whole texts and the end, each a run like theirs.
+        start = np.concatenate([start, len(values) + np.r_[0, np.cumsum(whole_size)]])
+        values = np.concatenate([values, whole_ids, np.array([END], np.uint16)])
+        size = np.concatenate([size, whole_size, [1]])
+        more = np.full(len(counts) + len(at), len(size) - 1)
+        more[at + np.arange(len(at))] = len(used) + np.arange(len(at))
+        own = counts * ~whole
+        place = np.insert(place, np.repeat(np.cumsum(own), 1 + whole), more)
+        n_ids = size[place]
+        upto = np.r_[0, np.cumsum(n_ids)][np.cumsum(own + 1 + whole)]
+        return values[_runs(start[place], n_ids)], np.diff(upto, prepend=0)
+
+
+@functools.lru_cache(maxsize=1)
+def _encoder(path: str) -> Encoder:
+    """One for all tasks of a worker, with the words it remembers."""
+    return Encoder(path)
+
+
+def _slices(batch):
+    """Rows of a batch with about ``SLICE_BYTES`` of text, one at least."""
+    size = pc.binary_length(batch.column(1)).to_numpy(zero_copy_only=False)
+    part = np.cumsum(size, dtype=np.int64) // SLICE_BYTES
+    cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
+    return [batch.slice(a, b - a) for a, b in zip(cuts, cuts[1:]) if b > a]
 
 
 _STRIPE = [
@@ -96,32 +185,31 @@ def _encoded(path: str, kind: pa.DataType, stripe_ids: int):
         from pyspark import TaskContext
 
         part, stripe = TaskContext.get().partitionId(), 0
-        encoder = Encoder(path)
-        names, arrays, held = [], [], 0
-
-        def close():
-            lengths = [len(a) for a in arrays]
-            data = range_coder.encode(np.concatenate(arrays))
-            return pa.RecordBatch.from_arrays(
-                [
-                    pa.array([part], pa.int32()), pa.array([stripe], pa.int32()), pa.array([names], pa.list_(kind)),
-                    pa.array([lengths], pa.list_(pa.int64())), pa.array([held], pa.int64()), pa.array([data], pa.binary()),
-                ],
-                [n for n, _ in _STRIPE],
-            )
+        encoder = _encoder(path)
+        names, lengths, flats = [], np.empty(0, np.int64), []
+
+        def close(n):
+            """The stripe of the first ``n`` documents; they are held no longer."""
+            nonlocal names, lengths, flats, stripe
+            held, size = np.concatenate(flats), int(lengths[:n].sum())
+            flats = [held[size:].copy()]
+            data = range_coder.encode(held[:size])
+            row = [part, stripe, names[:n], lengths[:n].tolist(), size, data]
+            names, lengths, stripe = names[n:], lengths[n:], stripe + 1
+            types = [pa.int32(), pa.int32(), pa.list_(kind), pa.list_(pa.int64()), pa.int64(), pa.binary()]
+            return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, types)], [n for n, _ in _STRIPE])
 
         for batch in batches:
-            for first in range(0, batch.num_rows, 256):
-                rows = batch.slice(first, 256)
-                for name, ids in zip(rows.column(0).to_pylist(), encoder.encode(rows.column(1).to_pylist())):
-                    names.append(name)
-                    arrays.append(ids)
-                    held += len(ids)
-                    if held >= stripe_ids:
-                        yield close()
-                        names, arrays, held, stripe = [], [], 0, stripe + 1
+            for rows in _slices(batch):
+                ids, size = encoder.flat(rows.column(1))
+                names += rows.column(0).to_pylist()
+                lengths = np.concatenate([lengths, size])
+                flats.append(ids)
+                # A half more is held, so that the last stripe is no short one: a step of few blocks takes as long.
+                while lengths.sum() >= stripe_ids + stripe_ids // 2:
+                    yield close(int(np.searchsorted(np.cumsum(lengths), stripe_ids)) + 1)
         if names:
-            yield close()
+            yield close(len(names))
 
     return run
 
@@ -150,7 +238,7 @@ def _decoded(batches):
                 raise ValueError("a stripe's length is not that of its documents")
             raw = ids.astype("<u4")
             ends = np.cumsum(lengths)
-            checks = [zlib.crc32(raw[a:b].tobytes()) for a, b in zip(ends - lengths, ends)]
+            checks = [zlib.crc32(raw[a:b]) for a, b in zip(ends - lengths, ends)]
             n = len(lengths)
             yield pa.RecordBatch.from_arrays(
                 [

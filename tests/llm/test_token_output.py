@@ -1,3 +1,4 @@
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -116,3 +117,38 @@ def test_a_damaged_block_is_an_error():
     data[-20] ^= 255
     with pytest.raises(ValueError):
         range_coder.decode(bytes(data))
+
+
+@pytest.mark.parametrize("work", [range_coder.encode, range_coder.decode])
+def test_a_block_takes_no_table_of_all_ids(work):
+    """Two workers share an executor: with a number for each of 65,536 ids a block took 131 kB more."""
+    ids, blocks = np.random.default_rng(5).zipf(1.3, 64 * 4096) % 50257, 64
+    given = ids if work is range_coder.encode else range_coder.encode(ids, 4096)
+    tracemalloc.start()
+    work(*[given, 4096][: 2 if work is range_coder.encode else 1])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak / blocks < 300_000
+
+
+def test_words_are_encoded_as_the_whole():
+    """Cuts at signs and line ends, beside letters and spaces of many kinds, and the added token."""
+    draw = np.random.default_rng(6)
+    parts = ["a", "The", " ", " ", "\n", ".\n", "'s", "'ll", "12", ",", "_", "-", "é", "½", "²", "Ⅷ", "К", "中", "́"]
+    parts += ["\t", "\x1c", " ", "　", "$", "<", "|", ">", "<|endoftext|>", "x"]
+    texts = ["".join(draw.choice(parts, n)) for n in draw.integers(0, 25, 5000)]
+    want = [t.ids + [0] for t in library().encode_batch(texts, add_special_tokens=False)]
+    encoder = token_output.Encoder(PATH)
+    got = [x.tolist() for at in range(0, 5000, 500) for x in encoder.encode(texts[at : at + 500])]
+    assert got == want
+    assert encoder.encode([]) == []
+
+
+def test_a_partition_does_not_end_with_a_short_stripe(spark, tmp_path):
+    rows = [(i, "a b c d e f g") for i in range(460)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)
+    token_output.write_tokens(df, f"{tmp_path}/t", PATH, 800)
+    ids = [r.ids for r in spark.read.parquet(f"{tmp_path}/t").orderBy("part", "stripe").collect()]
+    assert sum(ids) == 460 * 8 and min(ids) >= 400 and max(ids) < 1200 + 8
+    got = sorted(map(tuple, token_output.read_tokens(spark, f"{tmp_path}/t").collect()))
+    assert got == expected(rows)
