@@ -38,9 +38,9 @@ from quernel.session import scratch_path
 VOCABULARY, END = "byte_bpe_50k.json", 0
 
 #: Ids of a stripe at least, unless the partition ends; its last stripe has up to half as many more.
-STRIPE_IDS = 768 * range_coder.BLOCK_IDS
+STRIPE_IDS = 512 * range_coder.BLOCK_IDS
 #: Words that a worker remembers, their characters, words encoded in one call, and bytes of texts that are cut at once.
-WORDS, CHARS, BATCH, SLICE_BYTES = 400_000, 8_000_000, 4096, 1 << 20
+WORDS, CHARS, BATCH, SLICE_BYTES = 300_000, 6_000_000, 4096, 1 << 20
 
 # Letters and digits that every version of Unicode knows as such; signs, but for those of an added token or after which
 # letters may belong to them.
